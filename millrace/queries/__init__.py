@@ -1,3 +1,3 @@
 """Registered queries; importing this package fills the registry."""
 
-from millrace.queries import aggregates, jobs, relational, scalars  # noqa: F401
+from millrace.queries import aggregates, ingest_queries, jobs, relational, scalars, sink_queries, source_queries  # noqa: F401
