@@ -1,3 +1,13 @@
 """Registered queries; importing this package fills the registry."""
 
-from millrace.queries import aggregates, ingest_queries, jobs, relational, scalars, sink_queries, source_queries  # noqa: F401
+from millrace.queries import (  # noqa: F401
+    aggregates,
+    ingest_queries,
+    iterative_queries,
+    jobs,
+    relational,
+    scalars,
+    sink_queries,
+    source_queries,
+    udf_queries,
+)

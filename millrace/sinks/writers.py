@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -42,15 +44,26 @@ def append_by_name(df: DataFrame, name: str) -> None:
     df.select(*target).write.insertInto(name, overwrite=False)
 
 
-def truncate_load(df: DataFrame, name: str) -> bool:
-    """Replace the content of ``name`` in one overwrite; an empty result leaves the table alone.
+def table_location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Location'").select("data_type").collect()
+    return rows[0][0]
+
+
+def truncate_load(df: DataFrame, name: str) -> int:
+    """Replace the content of ``name``; an empty result leaves the table alone. Returns the number of rows.
 
-    Readers never meet an empty table between a truncate and the load.
+    The new content goes to its own folder and the table is pointed there once it is complete: readers meet
+    the old rows or the new rows, never an empty table, and a failed load changes nothing.
     """
-    if df.isEmpty():
-        return False
-    df.select(*df.sparkSession.table(name).columns).write.insertInto(name, overwrite=True)
-    return True
+    spark = df.sparkSession
+    folder = f"{table_location(spark, name).rstrip('/')}-{uuid.uuid4().hex}"
+    written = Observation()
+    rows = df.select(*spark.table(name).columns).observe(written, F.count(F.lit(1)).alias("rows"))
+    rows.write.format("parquet").save(folder)
+    if written.get["rows"] > 0:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+        spark.catalog.refreshTable(name)
+    return written.get["rows"]
 
 
 def upsert(current: DataFrame, changes: DataFrame, key: str, version: Column) -> DataFrame:
