@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,26 +41,16 @@ def fixed_size_with_replacement(df: DataFrame, n: int, keys: list[str], seed: in
 def stratified(df: DataFrame, key: str, fractions: dict, seed: int, replacement: bool = False) -> DataFrame:
     """A fraction per key; keys without a fraction are left out.
 
-    With replacement every row is taken a Poisson number of times, drawn by inverting the distribution on a
-    seeded uniform number.
+    Without replacement this is one pass. With replacement (a Poisson number of copies per row) each key of
+    the given table is one filtered pass.
     """
     if not replacement:
         return df.sampleBy(key, fractions, seed)
-    rate = F.create_map(*[F.lit(x) for pair in fractions.items() for x in pair])[F.col(key)]
-    counted = df.withColumn("__rate", F.coalesce(rate, F.lit(0.0))).withColumn("__u", F.rand(seed))
-    times = F.lit(0)
-    term, cumulative = F.exp(-F.col("__rate")), F.exp(-F.col("__rate"))
-    for k in range(1, 13):
-        times = F.when(F.col("__u") > cumulative, k).otherwise(times)
-        term = term * F.col("__rate") / k
-        cumulative = cumulative + term
-    copies = F.explode(F.sequence(F.lit(1), F.col("__times")))
-    return (
-        counted.withColumn("__times", times)
-        .filter("__times > 0")
-        .withColumn("__copy", copies)
-        .drop("__rate", "__u", "__times", "__copy")
-    )
+    parts = [
+        df.filter(F.col(key) == value).sample(withReplacement=True, fraction=fraction, seed=seed + i)
+        for i, (value, fraction) in enumerate(fractions.items())
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def key_shares(df: DataFrame, key: str) -> DataFrame:

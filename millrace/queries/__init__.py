@@ -9,5 +9,6 @@ from millrace.queries import (  # noqa: F401
     scalars,
     sink_queries,
     source_queries,
+    stream_queries,
     udf_queries,
 )
