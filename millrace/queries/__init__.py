@@ -2,6 +2,7 @@
 
 from millrace.queries import (  # noqa: F401
     aggregates,
+    feature_queries,
     ingest_queries,
     iterative_queries,
     jobs,
