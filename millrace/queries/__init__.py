@@ -6,6 +6,7 @@ from millrace.queries import (  # noqa: F401
     ingest_queries,
     iterative_queries,
     jobs,
+    model_queries,
     relational,
     scalars,
     sink_queries,
