@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from millrace.operators.skew import salted_join
 
 
-def tf_idf(tokens: DataFrame, doc: str = "doc_id", word: str = "word") -> DataFrame:
-    """(doc, word, tf, weight) with weight ``tf * ln((N + 1) / (df + 1))`` on exact terms.
+def tf_idf(tokens: DataFrame, documents: int, doc: str = "doc_id", word: str = "word") -> DataFrame:
+    """(doc, word, tf, weight) with weight ``tf * ln((N + 1) / (df + 1))`` on exact terms, N = ``documents``.
 
     A word in nearly every document is a hot key of the join with the document frequencies, hence the salted join.
     """
     tf = tokens.groupBy(doc, word).agg(F.count(F.lit(1)).alias("tf"))
     frequency = tf.groupBy(word).agg(F.count(F.lit(1)).alias("df"))
-    n = tokens.select(doc).distinct().count()
-    weight = F.col("tf") * F.log(F.lit(float(n + 1)) / (F.col("df") + 1))
-    return salted_join(tf, frequency, word).select(doc, word, "tf", weight.alias("weight"))
+    weight = F.col("tf") * F.log(F.lit(float(documents + 1)) / (F.col("df") + 1))
+    counts = frequency.select(word, F.col("df").alias("n"))
+    return salted_join(tf, frequency, word, counts=counts).select(doc, word, "tf", weight.alias("weight"))

@@ -22,60 +22,86 @@ def row_salt(df: DataFrame, splits: Column) -> Column:
     return F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), splits).cast("int")
 
 
-def salted_join(
+def salted_sides(
     big: DataFrame,
     small: DataFrame,
-    key: str,
-    condition: Column | None = None,
+    big_keys: list[str],
+    small_keys: list[str],
+    counts: DataFrame | None = None,
     rows_per_split: int = ROWS_PER_SPLIT,
-) -> DataFrame:
-    """Inner equi-join on ``key`` (kept once) where ``big`` may be dominated by a few keys.
+    salt: str = "salt",
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a ``salt`` column, ready for an equi-join on keys and salt.
 
     Keys of ``big`` with more than ``rows_per_split`` rows are split into
     ``ceil(rows / rows_per_split)`` parts, and the matching rows of ``small`` are copied
-    once per part. All other keys keep one part. The list of hot keys has at most
-    ``rows(big) / rows_per_split`` entries. Adaptive skew handling steps aside
-    when the join output is grouped by the same key, or when one side is an aggregate;
-    this join does not depend on it.
+    once per part. All other keys keep part 0. ``counts`` (big_keys, n) saves counting the rows per key when
+    they are known already.
     """
-    hot = (
-        big.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .filter(F.col("__n") > rows_per_split)
-        .select(F.col(key).alias("__hot"), F.ceil(F.col("__n") / rows_per_split).cast("int").alias("__splits"))
+    if counts is None:
+        counts = big.groupBy(*big_keys).agg(F.count(F.lit(1)).alias("n"))
+    parts = F.ceil(F.col("n") / rows_per_split).cast("int")
+    hot_names = [f"__hot_{k}" for k in big_keys]
+    hot = counts.filter(F.col("n") > rows_per_split).select(
+        *[F.col(k).alias(h) for k, h in zip(big_keys, hot_names)], parts.alias("__parts")
     )
-    splits = F.coalesce(F.col("__splits"), F.lit(1))
     # at most rows(big) / rows_per_split entries, hence a safe broadcast
     hot = F.broadcast(hot)
-    left = big.join(hot, F.col(key) == F.col("__hot"), "left")
-    left = left.withColumn("__salt", row_salt(big, splits)).drop("__hot", "__splits")
-    right = small.withColumnRenamed(key, "__key").join(hot, F.col("__key") == F.col("__hot"), "left")
-    right = right.withColumn("__part", F.explode(F.sequence(F.lit(0), splits - 1))).drop("__hot", "__splits")
-    on = (F.col(key) == F.col("__key")) & (F.col("__salt") == F.col("__part"))
+    splits = F.coalesce(F.col("__parts"), F.lit(1))
+
+    def with_parts(df: DataFrame, columns: list[str]) -> DataFrame:
+        return df.join(hot, [F.col(c) == F.col(h) for c, h in zip(columns, hot_names)], "left").drop(*hot_names)
+
+    left = with_parts(big, big_keys).withColumn(salt, row_salt(big, splits)).drop("__parts")
+    copies = F.explode(F.sequence(F.lit(0), splits - 1))
+    right = with_parts(small, small_keys).withColumn(salt, copies).drop("__parts")
+    return left, right
+
+
+def salted_join(
+    big: DataFrame,
+    small: DataFrame,
+    keys: str | list[str],
+    condition: Column | None = None,
+    how: str = "inner",
+    counts: DataFrame | None = None,
+    rows_per_split: int = ROWS_PER_SPLIT,
+) -> DataFrame:
+    """Inner or left-semi equi-join on ``keys`` (kept once) where ``big`` may be dominated by a few keys.
+
+    Adaptive skew handling steps aside when the join output is grouped by the same key, or when one side is an
+    aggregate; this join does not depend on it. See :func:`salted_sides`.
+    """
+    keys = [keys] if isinstance(keys, str) else keys
+    renamed = [f"__key_{k}" for k in keys]
+    small = small.withColumnsRenamed(dict(zip(keys, renamed)))
+    left, right = salted_sides(big, small, keys, renamed, counts, rows_per_split, "__salt")
+    right = right.withColumnRenamed("__salt", "__part")
+    on = F.col("__salt") == F.col("__part")
+    for k, r in zip(keys, renamed):
+        on = on & (F.col(k) == F.col(r))
     if condition is not None:
         on = on & condition
-    return left.join(right, on, "inner").drop("__salt", "__part", "__key")
+    return left.join(right, on, how).drop("__salt", "__part", *renamed)
 
 
 def number_rows(df: DataFrame, order: list[Column], name: str = "row_id") -> DataFrame:
     """Number the rows 1..n in the given total order without a one-task window.
 
-    The rows are range-partitioned on the full order, and that layout is written once. Each
-    range is then numbered on its own, and the (few) range sizes give the offsets.
+    The sorted rows are written once with their partition and position. The number of rows in the partitions before (one
+    small row per partition) turns that into a running number.
     """
-    ranged = df.repartitionByRange(*order).withColumn("__range", F.spark_partition_id())
-    ranged = cut_lineage(ranged)
-    sizes = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__size"))
-    # one row per range: the window below sees as many rows as there are partitions
-    before = F.sum("__size").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = sizes.select(F.col("__range").alias("__r"), F.coalesce(before, F.lit(0)).alias("__before"))
-    local = F.row_number().over(Window.partitionBy("__range").orderBy(*order))
-    numbered = ranged.withColumn("__local", local)
+    placed = df.orderBy(*order).withColumn("__place", F.monotonically_increasing_id())
+    placed = cut_lineage(placed, "ordered")
+    # the id holds the partition above bit 33 and the position in it below
+    partition, position = F.shiftright("__place", 33), F.col("__place").bitwiseAND((1 << 33) - 1)
+    sizes = placed.groupBy(partition.alias("__partition")).agg(F.count(F.lit(1)).alias("__size"))
+    before = F.sum("__size").over(Window.orderBy("__partition").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select("__partition", F.coalesce(before, F.lit(0)).alias("__before"))
     return (
-        numbered.join(F.broadcast(offsets), F.col("__range") == F.col("__r"))
-        .withColumn(name, (F.col("__before") + F.col("__local")).cast("bigint"))
-        .drop("__range", "__r", "__before", "__local")
+        placed.join(F.broadcast(offsets), partition == F.col("__partition"))
+        .withColumn(name, (F.col("__before") + position + 1).cast("bigint"))
+        .drop("__place", "__partition", "__before")
     )
 
 

@@ -24,19 +24,18 @@ def base_counts(t: dict[str, DataFrame]) -> DataFrame:
     def spread(df: DataFrame, counts: dict[str, Column]) -> DataFrame:
         return df.agg(*[c.cast("bigint").alias(m) for m, c in counts.items()]).unpivot([], list(counts), "metric", "n")
 
-    trained = t["score"].join(t["learn"].filter(F.col("type").isin(ONLINE, DEVICE)), "sheet")
+    # joins run on rows per key, so that a sheet or schedule with very many rows is one row by then
+    per_sheet = t["score"].groupBy("sheet").agg(rows.alias("rows"))
+    trained = per_sheet.join(t["learn"].filter(F.col("type").isin(ONLINE, DEVICE)), "sheet")
+    of_type = lambda kind: F.coalesce(F.sum(F.when(F.col("type") == kind, F.col("rows"))), F.lit(0))
+    task_set = t["tasks"].filter(F.col("schedule_id").isNotNull()).select("schedule_id").distinct()
+    per_schedule = t["schedule_std"].groupBy("schedule_id").agg(rows.alias("rows"))
     parts = [
-        spread(
-            trained,
-            {
-                "online": F.count_if(F.col("type") == ONLINE),
-                "device": F.count_if(F.col("type") == DEVICE),
-            },
-        ),
+        spread(trained, {"online": of_type(ONLINE), "device": of_type(DEVICE)}),
         spread(t["score"], {"peer": F.count("grader")}),
-        spread(t["tasks"].filter(F.col("schedule_id").isNotNull()).select("schedule_id").distinct(), {"task_schedules_set": rows}),
+        spread(task_set, {"task_schedules_set": rows}),
         spread(t["tasks"], {"task_null": F.coalesce(F.max(F.col("schedule_id").isNull().cast("int")), F.lit(0))}),
-        spread(t["schedule_std"].join(t["tasks"], "schedule_id", "left_semi"), {"std_with_task": rows}),
+        spread(per_schedule.join(task_set, "schedule_id", "left_semi"), {"std_with_task": F.coalesce(F.sum("rows"), F.lit(0))}),
         spread(t["schedule_std"], {"std": rows}),
         spread(t["schedule_teacher"], {"teacher": rows}),
         spread(t["schedule"], {"schedule": rows}),

@@ -30,9 +30,11 @@ def agg_count(spark, sf_dir):
     """select l.quality, count(*) as n from documents d left join labels l on d.doc_id = l.doc_id group by l.quality""",
 )
 def agg_group_count(spark, sf_dir):
-    # documents without a label make the null group
-    documents, labels = table(spark, sf_dir, "documents").select("doc_id"), table(spark, sf_dir, "labels")
-    return documents.join(labels, "doc_id", "left").groupBy("quality").agg(F.count(F.lit(1)).alias("n"))
+    # documents without a label make the null group; labels are counted per document before they travel
+    documents = table(spark, sf_dir, "documents").select("doc_id")
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id", "quality").agg(F.count(F.lit(1)).alias("rows"))
+    joined = documents.join(labels, "doc_id", "left")
+    return joined.groupBy("quality").agg(F.sum(F.coalesce("rows", F.lit(1))).alias("n"))
 
 
 @query(

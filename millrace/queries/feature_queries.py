@@ -279,7 +279,7 @@ def ml_ngram(spark, sf_dir):
 )
 def ml_tf_idf(spark, sf_dir):
     words = tokenized(spark, sf_dir).select("doc_id", F.explode("tokens").alias("word"))
-    return tf_idf(words).groupBy("doc_id").agg(
+    return tf_idf(words, table(spark, sf_dir, "documents").count()).groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("terms"), F.round(F.sum("weight"), 4).alias("weight"), F.round(F.max("weight"), 6).alias("top_weight")
     )
 

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from millrace.functions.jsondoc import to_json_text
 from millrace.functions.times import epoch_seconds, from_epoch
-from millrace.session import table
+from millrace.session import cut_lineage, table
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Attempts: sheet, person, starttime, endtime, score."""
+    """Attempts: sheet, person, starttime, endtime, score; written once, as the warehouse has them in one table."""
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("sheet"),
         F.col("l_shipdate").alias("starttime"),
@@ -19,7 +19,7 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").cast("decimal(18,3)").alias("score"),
     )
     people = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("sheet"), F.col("o_custkey").alias("person"))
-    return lines.join(people, "sheet")
+    return cut_lineage(lines.join(people, "sheet"), "scores")
 
 
 def learn(spark: SparkSession, sf_dir: str) -> DataFrame:

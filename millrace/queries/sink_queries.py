@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.operators.skew import salted_sides
 from millrace.registry import query
 from millrace.session import scratch_name, scratch_path, table
-from millrace.sinks.writers import append_by_name, create_table, save_bucketed, to_cells, truncate_load, upsert
+from millrace.sinks.writers import append_by_name, bucket_count, create_table, save_bucketed, to_cells, truncate_load, upsert
 
 CUT = "2000-01-01"
 ORDER_SCHEMA = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double"
@@ -49,14 +50,17 @@ def snk_partitioned(spark, sf_dir):
     """select o_orderstatus, c_mktsegment, count(*) as n from orders join customer on o_custkey = c_custkey group by 1, 2""",
 )
 def snk_partition_bucket(spark, sf_dir):
-    # both sides bucketed on the customer: the join reads bucket by bucket, without a shuffle
+    # both sides bucketed on the customer (and its salt): the join reads bucket by bucket, without a shuffle
+    buckets = bucket_count(table(spark, sf_dir, "orders").count())
+    left, right = salted_sides(order_rows(spark, sf_dir), table(spark, sf_dir, "customer"), ["o_custkey"], ["c_custkey"])
+    right = right.withColumnRenamed("salt", "c_salt")
     orders = save_bucketed(
-        order_rows(spark, sf_dir), scratch_name("orders_b"), scratch_path(spark, "orders-b"), 42, "o_custkey", "o_orderstatus"
+        left, scratch_name("orders_b"), scratch_path(spark, "orders-b"), buckets, ["o_custkey", "salt"], "o_orderstatus"
     )
     customers = save_bucketed(
-        table(spark, sf_dir, "customer"), scratch_name("customer_b"), scratch_path(spark, "customer-b"), 42, "c_custkey"
+        right, scratch_name("customer_b"), scratch_path(spark, "customer-b"), buckets, ["c_custkey", "c_salt"]
     )
-    joined = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    joined = orders.join(customers, [F.col("o_custkey") == F.col("c_custkey"), F.col("salt") == F.col("c_salt")])
     return joined.groupBy("o_orderstatus", "c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -66,8 +70,8 @@ def snk_bucket_sorted(spark, sf_dir):
         table(spark, sf_dir, "customer"),
         scratch_name("customer_s"),
         scratch_path(spark, "customer-s"),
-        42,
-        "c_name",
+        bucket_count(table(spark, sf_dir, "customer").count()),
+        ["c_name"],
         sort_by="c_acctbal",
     )
 

@@ -251,8 +251,8 @@ def src_range(spark, sf_dir):
     # every id of the table's range that has no order, with its square and cube
     last = table(spark, sf_dir, "customer").agg(F.max("c_custkey")).first()[0]
     ids = spark.range(0, last + 1).withColumnRenamed("id", "n")
-    orders = table(spark, sf_dir, "orders")
-    unused = ids.join(orders, F.col("n") == F.col("o_custkey"), "left_anti")
+    buyers = table(spark, sf_dir, "orders").select("o_custkey").distinct()
+    unused = ids.join(buyers, F.col("n") == F.col("o_custkey"), "left_anti")
     return unused.select("n", (F.col("n") * F.col("n")).alias("square"), (F.col("n") * F.col("n") * F.col("n")).alias("cube"))
 
 

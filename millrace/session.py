@@ -61,7 +61,12 @@ def scratch_name(label: str) -> str:
     return f"{label}_{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder: survives the loss of executors."""
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    What follows starts from files: a lost executor costs no recomputation, later scans read only the columns they
+    need, and Spark knows the true size when it picks a join.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,26 +4,35 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows that one bucket is asked to hold.
+ROWS_PER_BUCKET = 20_000_000
+
+
+def bucket_count(rows: int, least: int = 42) -> int:
+    """Buckets for a table of that many rows; sides that are to be joined need the same number."""
+    return max(least, -(-rows // ROWS_PER_BUCKET))
+
+
 def save_bucketed(
     df: DataFrame,
     name: str,
     path: str,
     buckets: int,
-    key: str,
+    keys: list[str],
     partition_by: str | None = None,
     sort_by: str | None = None,
 ) -> DataFrame:
-    """A bucketed table in a shared folder; equal bucketing lets later joins on ``key`` skip the shuffle.
+    """A bucketed table in a shared folder; equal bucketing lets later joins on ``keys`` skip the shuffle.
 
     Rows are grouped by bucket before the write; otherwise every task would open a file
-    per bucket. Rebalancing lets Spark cut a bucket with a hot key into several tasks and files.
+    per bucket. A later scan reads one bucket in one task: add a salt to the keys where one key may be hot.
     """
-    grouped = df.hint("rebalance", buckets, F.col(key))
-    writer = grouped.write.format("parquet").mode("overwrite").option("path", path).bucketBy(buckets, key)
+    grouped = df.hint("rebalance", buckets, *[F.col(k) for k in keys])
+    writer = grouped.write.format("parquet").mode("overwrite").option("path", path).bucketBy(buckets, *keys)
     if sort_by is not None:
         writer = writer.sortBy(sort_by)
     if partition_by is not None:
@@ -57,13 +66,14 @@ def truncate_load(df: DataFrame, name: str) -> int:
     """
     spark = df.sparkSession
     folder = f"{table_location(spark, name).rstrip('/')}-{uuid.uuid4().hex}"
-    written = Observation()
-    rows = df.select(*spark.table(name).columns).observe(written, F.count(F.lit(1)).alias("rows"))
-    rows.write.format("parquet").save(folder)
-    if written.get["rows"] > 0:
+    target = spark.table(name)
+    df.select(*target.columns).write.format("parquet").save(folder)
+    # the row count comes from the file footers
+    rows = spark.read.schema(target.schema).parquet(folder).count()
+    if rows > 0:
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
         spark.catalog.refreshTable(name)
-    return written.get["rows"]
+    return rows
 
 
 def upsert(current: DataFrame, changes: DataFrame, key: str, version: Column) -> DataFrame:
