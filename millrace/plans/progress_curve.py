@@ -36,7 +36,8 @@ def curve_inputs(
         windows.filter(F.col("status") == 1).select("person", "start_dt", "end_dt"),
         once=True,
     ).select("person", F.lit(AFTER_CLASS_BIT).alias("bit"), "score")
-    exams = exam_scores.groupBy("exam", "person").agg(F.sum(F.col("score").cast(SCORE)).alias("score"))
+    exam_rows = exam_scores.filter(F.col("person").isNotNull())
+    exams = exam_rows.groupBy("exam", "person").agg(F.sum(F.col("score").cast(SCORE)).alias("score"))
     return trained.unionByName(after_class), exams
 
 

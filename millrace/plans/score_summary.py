@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.jsondoc import ranking_rows, to_json_text
 from millrace.operators.intervals import contained_in
 from millrace.operators.ranking import top_k_per_group
+from millrace.session import cut_lineage
 
 # Learn types and the JSON keys of the five groups.
 GROUP_OF_TYPE = {0: "zxxl", 1: "ksmxr", 2: "znsb"}
@@ -61,7 +62,8 @@ def leaderboard(rows: DataFrame, k: int = 5) -> DataFrame:
 
 def score_summary(scores: DataFrame, learn: DataFrame, windows: DataFrame, reports: DataFrame) -> DataFrame:
     """Long form: (grp, metric, value, who)."""
-    rows = group_scores(scores, learn, windows, reports)
+    # written once: the metrics and the leaderboard each read the columns they need instead of joining again
+    rows = cut_lineage(group_scores(scores, learn, windows, reports), "group-scores")
     nobody = F.lit(None).cast("string").alias("who")
     metrics = score_metrics(rows).unpivot("grp", ["max", "min", "avg"], "metric", "value").select("grp", "metric", "value", nobody)
     ranks = leaderboard(rows).select(
