@@ -2,18 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.times import epoch_seconds
 from millrace.operators.skew import ROWS_PER_SPLIT, salted_join
 
 
-def _slot(ts: Column, width_class: Column) -> Column:
-    """Number of the time slot of ``2 ** width_class`` seconds that holds ``ts``."""
-    return F.floor(epoch_seconds(ts) / F.pow(F.lit(2.0), width_class)).cast("bigint")
-
-
 def contained_in(
     attempts: DataFrame,
     windows: DataFrame,
@@ -31,23 +26,26 @@ def contained_in(
     only the windows that touch the slot of its start. Attempts are repeated once per class in use, of
     which there are at most a few dozen. Busy slots are split further by the salted join.
     """
-    length = F.greatest(epoch_seconds(F.col("end_dt")) - epoch_seconds(F.col("start_dt")), F.lit(1))
-    usable = windows.filter(F.col("end_dt") >= F.col("start_dt"))
-    usable = usable.withColumn("__class", F.ceil(F.log2(length.cast("double"))).cast("int"))
-    classes = [row[0] for row in usable.select("__class").distinct().collect()]
-    if not classes:
-        usable, classes = usable.limit(0), [0]
-    first, last = _slot(F.col("start_dt"), F.col("__class")), _slot(F.col("end_dt"), F.col("__class"))
-    opened = usable.withColumn("__slot", F.explode(F.sequence(first, last)))
-    placed = attempts.withColumn("__class", F.explode(F.array(*[F.lit(c) for c in sorted(classes)])))
-    placed = placed.withColumn("__slot", _slot(F.col("starttime"), F.col("__class")))
+    usable = windows.filter(F.col("end_dt") >= F.col("start_dt")).withColumns(
+        {"__from": epoch_seconds(F.col("start_dt")), "__to": epoch_seconds(F.col("end_dt"))}
+    )
+    length = F.greatest(F.col("__to") - F.col("__from"), F.lit(1)).cast("double")
+    usable = usable.withColumn("__class", F.ceil(F.log2(length)).cast("int"))
+    classes = usable.agg(F.collect_set("__class")).first()[0]
+    # slots of a class are 2 ** class seconds wide
+    first, last = (F.call_function("shiftright", F.col(c), F.col("__class")) for c in ("__from", "__to"))
+    opened = usable.withColumn("__slot", F.explode(F.sequence(first, last))).drop("__from", "__to")
+    start = epoch_seconds(F.col("starttime"))
+    places = [
+        F.struct(F.lit(c).alias("__class"), F.shiftright(start, c).alias("__slot")) for c in sorted(classes) or [0]
+    ]
+    placed = attempts.select("*", F.inline(F.array(*places)))
+    # only the slots of busy people are counted one by one
+    busy = attempts.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > rows_per_split).select(key)
+    slots = [key, "__class", "__slot"]
+    counts = placed.join(F.broadcast(busy), key, "left_semi").groupBy(*slots).agg(F.count(F.lit(1)).alias("n"))
     inside = (F.col("starttime") >= F.col("start_dt")) & (F.col("endtime") <= F.col("end_dt"))
     joined = salted_join(
-        placed,
-        opened,
-        [key, "__class", "__slot"],
-        inside,
-        "left_semi" if once else "inner",
-        rows_per_split=rows_per_split,
+        placed, opened, slots, inside, "left_semi" if once else "inner", counts=counts, rows_per_split=rows_per_split
     )
     return joined.drop("__class", "__slot")

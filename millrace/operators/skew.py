@@ -85,26 +85,40 @@ def salted_join(
     return left.join(right, on, how).drop("__salt", "__part", *renamed)
 
 
-def number_rows(df: DataFrame, order: list[Column], name: str = "row_id") -> DataFrame:
-    """Number the rows 1..n in the given total order without a one-task window.
-
-    The sorted rows are written once with their partition and position. The number of rows in the partitions before (one
-    small row per partition) turns that into a running number.
-    """
-    placed = df.orderBy(*order).withColumn("__place", F.monotonically_increasing_id())
+def _ordered(df: DataFrame, order: list[Column]) -> DataFrame:
+    """The sorted rows, written once with the number of their range (``__range``) and their place in it (``__place``)."""
+    placed = df.orderBy(*order).withColumn("__id", F.monotonically_increasing_id())
     placed = cut_lineage(placed, "ordered")
-    # the id holds the partition above bit 33 and the position in it below
-    partition, position = F.shiftright("__place", 33), F.col("__place").bitwiseAND((1 << 33) - 1)
-    sizes = placed.groupBy(partition.alias("__partition")).agg(F.count(F.lit(1)).alias("__size"))
-    before = F.sum("__size").over(Window.orderBy("__partition").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = sizes.select("__partition", F.coalesce(before, F.lit(0)).alias("__before"))
-    return (
-        placed.join(F.broadcast(offsets), partition == F.col("__partition"))
-        .withColumn(name, (F.col("__before") + position + 1).cast("bigint"))
-        .drop("__place", "__partition", "__before")
+    # the id holds the partition from bit 33 up and the position in it below
+    return placed.select(
+        *df.columns, F.shiftright("__id", 33).alias("__range"), F.col("__id").bitwiseAND((1 << 33) - 1).alias("__place")
     )
 
 
+def _before(ordered: DataFrame, totals: dict[str, Column]) -> DataFrame:
+    """Per range, the totals of all ranges before it; the window sees one small row per range."""
+    sums = ordered.groupBy("__range").agg(*[c.alias(name) for name, c in totals.items()])
+    ahead = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    return sums.select("__range", *[F.coalesce(F.sum(name).over(ahead), F.lit(0)).alias(name) for name in totals])
+
+
+def number_rows(df: DataFrame, order: list[Column], name: str = "row_id") -> DataFrame:
+    """Number the rows 1..n in the given total order without a one-task window."""
+    ordered = _ordered(df, order)
+    before = _before(ordered, {"__before": F.count(F.lit(1))})
+    row_id = (F.col("__before") + F.col("__place") + 1).cast("bigint").alias(name)
+    return ordered.join(F.broadcast(before), "__range").select(*df.columns, row_id)
+
+
+def running_totals(df: DataFrame, order: list[Column], columns: list[str]) -> DataFrame:
+    """``<c>_to``: sum of ``c`` over all rows up to and including this one, without a one-task window."""
+    ordered = _ordered(df, order)
+    before = _before(ordered, {f"__{c}": F.sum(c) for c in columns})
+    inside = Window.partitionBy("__range").orderBy("__place").rowsBetween(Window.unboundedPreceding, 0)
+    joined = ordered.join(F.broadcast(before), "__range")
+    return joined.select(*df.columns, *[(F.sum(c).over(inside) + F.col(f"__{c}")).alias(f"{c}_to") for c in columns])
+
+
 def zip_rows(left: DataFrame, right: DataFrame, left_order: list[Column], right_order: list[Column]) -> DataFrame:
     """Pair the i-th row of one side with the i-th row of the other; both orders must be total."""
     a = number_rows(left, left_order, "row_id")
