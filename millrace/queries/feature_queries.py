@@ -278,7 +278,8 @@ def ml_ngram(spark, sf_dir):
         from tf join df on tf.word = df.word group by doc_id""",
 )
 def ml_tf_idf(spark, sf_dir):
-    words = tokenized(spark, sf_dir).select("doc_id", F.explode("tokens").alias("word"))
+    # the outer form spares Spark's inferred filter on the list, which would tokenize every text again
+    words = tokenized(spark, sf_dir).select("doc_id", F.explode_outer("tokens").alias("word")).filter("word is not null")
     return tf_idf(words, table(spark, sf_dir, "documents").count()).groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("terms"), F.round(F.sum("weight"), 4).alias("weight"), F.round(F.max("weight"), 6).alias("top_weight")
     )
@@ -295,7 +296,7 @@ def ml_tf_idf_hashed(spark, sf_dir):
 def ml_word2vec(spark, sf_dir):
     # the vocabulary is model state: a minimum count keeps it bounded on large texts
     words = tokenized(spark, sf_dir)
-    top = words.select(F.explode("tokens").alias("word")).groupBy("word").count().orderBy(F.desc("count"), "word").first()["word"]
+    top = words.select(F.explode_outer("tokens").alias("word")).filter("word is not null").groupBy("word").count().orderBy(F.desc("count"), "word").first()["word"]
     word2vec = Word2Vec(vectorSize=3, minCount=5, seed=42, maxIter=1, numPartitions=8, inputCol="tokens", outputCol="v")
     model = word2vec.fit(words)
     return model.findSynonyms(top, 40).withColumn("of", F.lit(top))
