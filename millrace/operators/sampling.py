@@ -16,7 +16,12 @@ def bernoulli(df: DataFrame, fraction: float, seed: int, replacement: bool = Fal
 
 def random_order(keys: list[str], seed: int) -> list[Column]:
     """A repeatable shuffle of unique keys."""
-    return [F.xxhash64(*keys, F.lit(seed)), *[F.col(k) for k in keys]]
+    return [F.md5(F.concat_ws("|", *keys, F.lit(str(seed)))), *[F.col(k) for k in keys]]
+
+
+def md5_number(text: Column) -> Column:
+    """The first 15 hex digits of the text's md5 as a number."""
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 
 def fixed_size(df: DataFrame, n: int, keys: list[str], seed: int) -> DataFrame:
@@ -33,7 +38,7 @@ def fixed_size_with_replacement(df: DataFrame, n: int, keys: list[str], seed: in
     size = numbered.agg(F.max("__row")).first()[0]
     if not size:
         return df.limit(0)
-    draw = F.pmod(F.xxhash64(F.col("id"), F.lit(seed)), F.lit(size)) + 1
+    draw = md5_number(F.concat_ws("|", F.col("id").cast("string"), F.lit(str(seed)))) % F.lit(size) + 1
     draws = df.sparkSession.range(n).select(draw.alias("__row"))
     return draws.join(numbered, "__row").drop("__row")
 

@@ -80,20 +80,30 @@ def score_summary(scores: DataFrame, learn: DataFrame, windows: DataFrame, repor
 
 
 def score_summary_json(summary: DataFrame, load_time: Column) -> DataFrame:
-    """The stored form: one row (id, scores, createts, updatets) from the long form (at most 40 rows)."""
+    """The stored form: one row (id, scores, createts, updatets) from the long form (at most 40 rows).
+
+    Training scores are decimals and so quoted, with three places (seven for the average); exam scores come out
+    of a JSON report and stay numbers.
+    """
     fields = []
     for grp in GROUPS:
         here = F.col("grp") == grp
-        pick = lambda metric: _or_zero(F.max(F.when(here & (F.col("metric") == metric), F.col("value"))))
+
+        def shown(value: Column, places: int = 3) -> Column:
+            return value if grp == EXAM else value.cast(f"decimal(25,{places})").cast("string")
+
+        def pick(metric: str, places: int = 3) -> Column:
+            return shown(_or_zero(F.max(F.when(here & (F.col("metric") == metric), F.col("value")))), places)
+
         is_rank = here & F.col("metric").startswith("rank")
         who = F.col("who").alias("name") if grp == EXAM else F.col("who").cast("bigint").alias("id")
-        entry = F.struct(F.col("metric"), F.struct(who, F.col("value").alias("score")).alias("entry"))
+        entry = F.struct(F.col("metric"), F.struct(who, shown(F.col("value")).alias("score")).alias("entry"))
         ranked = F.transform(F.array_sort(F.collect_list(F.when(is_rank, entry))), lambda e: e["entry"])
         fields.append(
             F.struct(
                 pick("max").alias(f"{grp}_maxscore"),
                 pick("min").alias(f"{grp}_minscore"),
-                pick("avg").alias(f"{grp}_avgscore"),
+                pick("avg", 7).alias(f"{grp}_avgscore"),
                 ranked.alias(f"{grp}_rank5"),
             ).alias(grp)
         )

@@ -159,7 +159,14 @@ def smp_bernoulli(spark, sf_dir):
     return bernoulli(table(spark, sf_dir, "lineitem"), 0.1, 7, replacement=True).select("l_orderkey", "l_linenumber")
 
 
-@query("smp_fixed_size")
+@query(
+    "smp_fixed_size",
+    """with o as (select o_orderkey, o_totalprice, row_number() over (order by o_orderkey) as rn from orders)
+       select * from (select o_orderkey, o_totalprice, 'without' as how from o order by md5(o_orderkey || '|1'), o_orderkey limit 100)
+       union all
+       select o_orderkey, o_totalprice, 'with' from range(100) d(id)
+       join o on rn = ('0x' || substr(md5(id || '|1'), 1, 15))::bigint % (select count(*) from orders) + 1""",
+)
 def smp_fixed_size(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     without = fixed_size(orders, 100, ["o_orderkey"], 1).withColumn("how", F.lit("without"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators.skew import number_rows
 from millrace.plans.participation import participation_json, participation_long
 from millrace.plans.progress_curve import progress_curve, progress_curve_all5, progress_curve_stored
-from millrace.plans.score_summary import score_summary, score_summary_json
+from millrace.plans.score_summary import GROUPS, score_summary, score_summary_json
 from millrace.queries import roles
 from millrace.registry import query
 from millrace.session import table
@@ -22,9 +22,7 @@ def _summary(spark, sf_dir):
     )
 
 
-@query(
-    "job_score_summary",
-    f"""
+SUMMARY_SQL = f"""
 with {roles.ROLE_SQL},
 g as (
   select case l.type when 0 then 'zxxl' when 1 then 'ksmxr' when 2 then 'znsb' end as grp, s.person as id,
@@ -37,6 +35,12 @@ m as (
 r as (
   select grp, id, name, score,
          row_number() over (partition by grp order by score desc nulls last, id nulls last, name nulls last) as rn from g)
+"""
+
+
+@query(
+    "job_score_summary",
+    f"""{SUMMARY_SQL}
 select grp, 'max' as metric, a as value, cast(null as varchar) as who from m
 union all select grp, 'min', b, null from m
 union all select grp, 'avg', c, null from m
@@ -47,7 +51,26 @@ def job_score_summary(spark, sf_dir):
     return _summary(spark, sf_dir)
 
 
-@query("job_score_summary_stored")
+def _stored_group_sql(grp: str) -> str:
+    """One group's fields of the stored document, from the oracle's tables."""
+    if grp == "osce":
+        shown, average, who = "score::double", "c", "'name': name"
+    else:
+        shown, average, who = "score::decimal(25,3)::varchar", "c::decimal(25,7)::varchar", "'id': id"
+    one = lambda x: f"(select {x} from m where grp = '{grp}')"
+    top = f"(select list({{{who}, 'score': {shown}}} order by rn) from r where grp = '{grp}' and rn <= 5)"
+    value = lambda x: one(x) if grp == "osce" else one(f"{x}::decimal(25,3)::varchar")
+    return (
+        f"'{grp}': {{'{grp}_maxscore': {value('a')}, '{grp}_minscore': {value('b')}, "
+        f"'{grp}_avgscore': {one(average)}, '{grp}_rank5': {top}}}"
+    )
+
+
+@query(
+    "job_score_summary_stored",
+    f"""{SUMMARY_SQL} select 1::bigint as id, to_json({{{", ".join(_stored_group_sql(g) for g in GROUPS)}}})::varchar as scores,
+        '2024-05-06 07:08:09' as createts, '2024-05-06 07:08:09' as updatets""",
+)
 def job_score_summary_stored(spark, sf_dir):
     return score_summary_json(_summary(spark, sf_dir), _stamp())
 
@@ -75,9 +98,7 @@ def participation_tables(spark, sf_dir):
     }
 
 
-@query(
-    "job_participation_counts",
-    """
+COUNTS_SQL = """
 with b as (select
   (select count(*) from lineitem join orders on l_orderkey = o_orderkey where o_orderstatus = 'F') as online,
   (select count(*) from lineitem join orders on l_orderkey = o_orderkey where o_orderstatus = 'P') as device,
@@ -106,6 +127,12 @@ f as (
   union all select 'rep', 'report_ksznsb', device from b union all select 'rep', 'report_bjkh', schedule from b
   union all select 'rep', 'report_osce_examiner', e_rep from b union all select 'rep', 'report_osce_admin', a_rep from b
   union all select 'rep', 'report_osce_student', s_rep from b)
+"""
+
+
+@query(
+    "job_participation_counts",
+    f"""{COUNTS_SQL}
 select metric, n::bigint as n from f
 union all
 select case who when 'stu' then 'student_count' when 'tea' then 'teacher_count' else 'report_count' end, sum(n)::bigint from f group by who
@@ -115,7 +142,30 @@ def job_participation_counts(spark, sf_dir):
     return participation_long(participation_tables(spark, sf_dir))
 
 
-@query("job_participation_counts_stored")
+def _stored_block_sql(name: str, short: str, keys: str) -> str:
+    """One block of the stored document, from the oracle's tables."""
+    fields = [f"'{k}': (select n from f where metric = '{k}')" for k in keys.split()]
+    total = f"'{name}_count': (select sum(n)::bigint from f where who = '{short}')"
+    return f"'{name}': {{{', '.join([*fields, total])}}}"
+
+
+_KINDS = "zxxl bjkqxl bjktxl tbhz ksznsb bjkh osce_examiner osce_admin osce_student"
+STORED_COUNTS = [
+    _stored_block_sql(
+        "student",
+        "stu",
+        "stu_bjkh stu_zxxl stu_bjkqxl stu_bjktxl stu_tbhz stu_ksznsb stu_osce_student stu_osce_admin stu_osce_examiner",
+    ),
+    _stored_block_sql("teacher", "tea", " ".join(f"teacher_{k}" for k in _KINDS.split())),
+    _stored_block_sql("report", "rep", " ".join(f"report_{k}" for k in _KINDS.split())),
+]
+
+
+@query(
+    "job_participation_counts_stored",
+    f"""{COUNTS_SQL} select 1::bigint as id, to_json({{{", ".join(STORED_COUNTS)}}})::varchar as counts,
+        '2024-05-06 07:08:09' as createts, '2024-05-06 07:08:09' as updatets""",
+)
 def job_participation_counts_stored(spark, sf_dir):
     return participation_json(participation_tables(spark, sf_dir), _stamp())
 

@@ -46,8 +46,6 @@ def scratch_root(spark: SparkSession) -> str:
         if base is None:
             base = tempfile.mkdtemp(prefix="millrace-")
             _local_scratch[sc.applicationId] = base
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(base)
     return base
 
 

@@ -202,7 +202,7 @@ def test_score_summary_empty_group_is_zero(spark):
     document = score_summary_json(long, F.lit("t")).first()["scores"]
     assert '"osce":{"osce_maxscore":0.0,"osce_minscore":0.0,"osce_avgscore":0.0,"osce_rank5":[]}' in document
     best = '"znsb_rank5":[{"name":null,'
-    devices = '"znsb_rank5":[{"id":1,"score":56.5},{"id":null,"score":9.0},{"id":3,"score":1.0},{"id":4,"score":1.0},{"id":2,"score":0.0}]'
+    devices = '"znsb_rank5":[{"id":1,"score":"56.500"},{"id":null,"score":"9.000"},{"id":3,"score":"1.000"},{"id":4,"score":"1.000"},{"id":2,"score":"0.000"}]'
     assert devices in document and best not in document
     # every attempt counts, so a person can appear twice
     ranks = [r["who"] for r in long.filter("grp = 'zxxl' and metric like 'rank%'").collect()]
