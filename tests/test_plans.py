@@ -84,7 +84,7 @@ def test_counts_combine_before_the_shuffle(spark, sf_dir):
 def test_global_numbering_has_no_one_task_sort(spark, sf_dir):
     text = plan(QUERIES["sort_desc"](spark, sf_dir))
     # the only single-partition step is the window over the few partition sizes
-    assert text.count("SinglePartition") == 1 and "Window [sum(__size" in text
+    assert text.count("SinglePartition") == 1 and "Window [sum(__before" in text
 
 
 def test_no_query_depends_on_the_broadcast_threshold(spark, sf_dir):
