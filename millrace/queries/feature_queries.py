@@ -297,6 +297,14 @@ def ml_word2vec(spark, sf_dir):
     # the vocabulary is model state: a minimum count keeps it bounded on large texts
     words = tokenized(spark, sf_dir)
     top = words.select(F.explode_outer("tokens").alias("word")).filter("word is not null").groupBy("word").count().orderBy(F.desc("count"), "word").first()["word"]
-    word2vec = Word2Vec(vectorSize=3, minCount=5, seed=42, maxIter=1, numPartitions=8, inputCol="tokens", outputCol="v")
+    word2vec = Word2Vec(
+        vectorSize=3,
+        minCount=5,
+        seed=42,
+        maxIter=1,
+        numPartitions=spark.sparkContext.defaultParallelism,
+        inputCol="tokens",
+        outputCol="v",
+    )
     model = word2vec.fit(words)
     return model.findSynonyms(top, 40).withColumn("of", F.lit(top))
