@@ -94,14 +94,14 @@ def flt_between(spark, sf_dir):
 
 @query(
     "flt_string_expr",
-    """select c.c_custkey, c.c_nationkey from customer c left join (select distinct o_custkey from orders) o
-       on c.c_custkey = o.o_custkey where o.o_custkey is null and c.c_nationkey >= 0""",
+    """select c.c_custkey, c.c_nationkey from customer c left join (select distinct user_id from events) e
+       on c.c_custkey = e.user_id where e.user_id is null and c.c_nationkey >= 0""",
 )
 def flt_string_expr(spark, sf_dir):
-    buyers = table(spark, sf_dir, "orders").select("o_custkey").distinct()
+    users = table(spark, sf_dir, "events").select("user_id").distinct()
     customers = table(spark, sf_dir, "customer")
-    joined = customers.join(buyers, F.col("c_custkey") == F.col("o_custkey"), "left")
-    return joined.filter("o_custkey is null and c_nationkey >= 0").select("c_custkey", "c_nationkey")
+    joined = customers.join(users, F.col("c_custkey") == F.col("user_id"), "left")
+    return joined.filter("user_id is null and c_nationkey >= 0").select("c_custkey", "c_nationkey")
 
 
 @query(

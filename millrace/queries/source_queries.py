@@ -245,14 +245,14 @@ def src_rows_in_memory(spark, sf_dir):
 @query(
     "src_range",
     """select n, n * n as square, n * n * n as cube from range(0, (select max(c_custkey) + 1 from customer)) r(n)
-       where n not in (select o_custkey from orders)""",
+       where n not in (select user_id from events)""",
 )
 def src_range(spark, sf_dir):
-    # every id of the table's range that has no order, with its square and cube
+    # every id of the table's range that has no event, with its square and cube
     last = table(spark, sf_dir, "customer").agg(F.max("c_custkey")).first()[0]
     ids = spark.range(0, last + 1).withColumnRenamed("id", "n")
-    buyers = table(spark, sf_dir, "orders").select("o_custkey").distinct()
-    unused = ids.join(buyers, F.col("n") == F.col("o_custkey"), "left_anti")
+    users = table(spark, sf_dir, "events").select("user_id").distinct()
+    unused = ids.join(users, F.col("n") == F.col("user_id"), "left_anti")
     return unused.select("n", (F.col("n") * F.col("n")).alias("square"), (F.col("n") * F.col("n") * F.col("n")).alias("cube"))
 
 
