@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.arrays import byte_codes, mix, passes, range_hashes, runs, whole_groups, word_ranges
+from millrace.llm.arrays import byte_codes, passes, range_hashes, runs, whole_groups, word_ranges
 from millrace.session import cut_lineage
 
 WINDOW = 20
@@ -74,7 +74,7 @@ def id_ranks(ids: pa.Array, hashes: np.ndarray) -> np.ndarray:
 
 
 def super_kmers(docs: DataFrame, window: int, width: int) -> DataFrame:
-    """(key, print, id, text_hash, place) for each super-k-mer of ``docs``; one with an earlier copy in its batch is a copy, under a random key."""
+    """(key, print, id, text_hash, place) for each super-k-mer of ``docs``; one with an earlier copy in its batch is a copy, spread over small keys."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -88,10 +88,10 @@ def super_kmers(docs: DataFrame, window: int, width: int) -> DataFrame:
                 head = np.repeat(cuts[:-1], np.diff(cuts))
                 # a row that is given twice stands at the same place and is no copy of itself
                 copy = (rank != rank[head]) | (start != start[head])
-                random = mix(print_.view(np.uint64) + np.arange(len(text), dtype=np.uint64)).view(np.int64)
+                spread = np.arange(len(text)) & 0xFFFF
                 place = start << 32 | length << 16 | mid << 2 | np.where(copy, _COPY, 0)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.where(copy, random, key)), pa.array(print_), ids.take(pa.array(text)), pa.array(hashes[text]), pa.array(place)],
+                    [pa.array(np.where(copy, spread, key)), pa.array(np.where(copy, 0, print_)), ids.take(pa.array(text)), pa.array(hashes[text]), pa.array(place)],
                     names=["key", "print", "id", "text_hash", "place"],
                 )
 
@@ -108,7 +108,8 @@ def compared(places: DataFrame, crowd: int) -> DataFrame:
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash", F.shiftright("place", 32).alias("start"))
     minimiser = Window.partitionBy("key")
     equal = Window.partitionBy("key", "print").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
-    judged = places.withColumn("rank", rank).withColumn("first", ~copy & (F.first("rank").over(equal) == F.col("rank")))
+    # by minimiser only, which serves the finer windows too
+    judged = places.repartition("key").withColumn("rank", rank).withColumn("first", ~copy & (F.first("rank").over(equal) == F.col("rank")))
     judged = judged.withColumns({
         "shared": F.min("print").over(minimiser) != F.max("print").over(minimiser),
         "crowd": F.sum(F.col("first").cast("int")).over(minimiser),
