@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,13 +36,16 @@ def powers(n: int, base: np.uint64) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def range_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of ``codes[start:end]`` for every range; it depends on the content only, not on the place."""
-    up = powers(len(codes), _ODD)
+def range_hasher(codes: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """A function of (starts, ends) that hashes ``codes[start:end]`` for every range, by content only and not by place."""
     sums = np.zeros(len(codes) + 1, np.uint64)
-    np.cumsum(codes * up[:-1], out=sums[1:])
+    np.cumsum(codes * powers(len(codes), _ODD)[:-1], out=sums[1:])
     down = powers(len(codes), _ODD_INVERSE)
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    return lambda starts, ends: mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def range_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return range_hasher(codes)(starts, ends)
 
 
 def passes(texts: pa.Array, limit: int = PASS_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

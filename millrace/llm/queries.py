@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import langid, mixing, simhash, substrings
+from millrace.llm import langid, mixing, simhash, substrings, toxicity
 from millrace.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,13 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    field = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(langid.learnable("doc_id")))
+    return toxicity.score(docs, field).select("doc_id", langid.held_out("doc_id").alias("held_out"), "score", "predicted", "spans")
+
+
 @query
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
