@@ -22,15 +22,17 @@ from millrace.llm.arrays import byte_codes, group_ids, mix, passes, range_hasher
 from millrace.session import cut_lineage
 
 #: The model is fitted on about so many documents of each label, chosen by the hash of their id; their texts enter whole.
-DOCS_PER_LABEL = 1500
-#: Words of the sample that the field itself is trained on, and rounds of training.
+DOCS_PER_LABEL = 2000
+#: One document in so many of the sample serves the calibration alone.
+CALIBRATION = 5
+#: Words of the rest that the field itself is trained on, and rounds of training.
 FIT_WORDS, ROUNDS = 600_000, 120
 #: Most features, the strongest first; a bound on the size of the model.
 MAX_FEATURES = 4096
 #: Bytes of the word beginnings that can be features.
 BEGINNINGS = (4, 5, 6, 7, 8)
 #: Occurrences that must lie in toxic documents for a feature, and the marginal from which a word counts towards the score and from which it is a span.
-PURITY, COUNTED, OFFENDING = 0.98, 0.1, 0.5
+PURITY, COUNTED, OFFENDING = 0.9, 0.1, 0.5
 #: From this score on a document is predicted toxic.
 THRESHOLD = 0.3
 
@@ -208,7 +210,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # about 2 x per_label ids, whatever the input
     ids = F.broadcast(marks.filter(spot < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0])))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("text is not null")
-    sample = cut_lineage(texts.join(ids, "id").select("id", "toxic", "text"), "toxic-sample")
+    spare = F.pmod(F.xxhash64(F.lit("calibration"), F.col("id").cast("string")), F.lit(CALIBRATION)) == 0
+    sample = cut_lineage(texts.join(ids, "id").select("id", "toxic", "text", spare.alias("spare")), "toxic-sample")
 
     def surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -229,16 +232,25 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                     )
 
     # copies of a text repeat its surroundings and count once
-    different = sample.select("id", "toxic", "text").mapInArrow(surroundings, "feature bigint, around bigint, toxic int").distinct()
+    different = sample.filter("not spare").select("id", "toxic", "text").mapInArrow(surroundings, "feature bigint, around bigint, toxic int").distinct()
     tallies = different.groupBy("feature").agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n")).filter("n >= 3")
     tallies = cut_lineage(tallies, "tallies")
-    tests, toxic, total = tallies.agg(F.count(F.lit(1)), F.sum("t"), F.sum("n")).first()
-    if not tests or not 0 < toxic < total:
+    # how many features have n different surroundings; as few rows as there are numbers n
+    sizes = [(r["n"], r["features"], r["t"]) for r in tallies.groupBy("n").agg(F.count(F.lit(1)).alias("features"), F.sum("t").alias("t")).orderBy(F.desc("n")).collect()]
+    toxic, total = sum(r[2] for r in sizes), sum(r[0] * r[1] for r in sizes)
+    if not 0 < toxic < total:
         return empty
+    # only features frequent enough to pass at all are tests, and only tests raise the bar (Tarone)
+    bar, tests = math.inf, 0
+    for n, features, _ in sizes:
+        if n * math.log(total / toxic) < math.log(10 * (tests + features)):
+            break
+        tests += features
+        bar = math.log(10 * tests)
     # the likelihood bound for so many occurrences in toxic documents, against the number of features looked at
     p, f = toxic / total, F.col("t") / F.col("n")
     bits = F.col("n") * (f * F.log(f / p) + F.when(f < 1, (1 - f) * F.log((1 - f) / (1 - p))).otherwise(0.0))
-    strong = tallies.filter("t > 0").withColumn("bits", bits).filter((f >= PURITY) & (f > p) & (F.col("bits") >= math.log(10 * tests)))
+    strong = tallies.filter("t > 0").withColumn("bits", bits).filter((f >= PURITY) & (f > p) & (F.col("bits") >= F.lit(bar)))
     chosen = [r["feature"] for r in strong.orderBy(F.desc("bits"), "feature").limit(MAX_FEATURES).collect()]
     hashes = np.sort(np.array(chosen, np.int64).view(np.uint64))
     if not len(hashes):
@@ -254,26 +266,26 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 ends = np.searchsorted(words, cuts)
                 hits = [((words[a:b] - c) << 16 | found[a:b]).tolist() for a, b, c in zip(ends[:-1], ends[1:], cuts[:-1])]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(np.diff(cuts)), pa.array(hits, pa.list_(pa.int64()))],
-                    names=["id", "toxic", "n", "hits"],
+                    [*(batch.column(c).slice(lo, hi - lo) for c in (0, 1, 3)), pa.array(np.diff(cuts)), pa.array(hits, pa.list_(pa.int64()))],
+                    names=["id", "toxic", "spare", "n", "hits"],
                 )
 
     kind = sample.schema["id"].dataType.simpleString()
-    lines = sample.mapInArrow(tokens, f"id {kind}, toxic int, n bigint, hits array<bigint>")
-    rows = [(r["toxic"], r["n"], r["hits"]) for r in lines.orderBy(F.xxhash64(F.col("id").cast("string")), "toxic", "n").collect()]
-    sizes = np.array([r[1] for r in rows])
-    some = max(1, int(np.searchsorted(np.cumsum(sizes), FIT_WORDS)))
-    labels_ = np.array([r[0] for r in rows])
+    lines = sample.mapInArrow(tokens, f"id {kind}, toxic int, spare boolean, n bigint, hits array<bigint>")
+    rows = lines.orderBy("spare", F.xxhash64(F.col("id").cast("string")), "toxic", "n").collect()
+    sizes, marked, kept = (np.array([r[c] for r in rows]) for c in ("n", "toxic", "spare"))
     cuts = np.concatenate(([0], np.cumsum(sizes)))
-    hits = np.array([cuts[i] << 16 | 0 for i, r in enumerate(rows) for _ in r[2]], np.int64) + np.array([h for r in rows for h in r[2]], np.int64)
+    hits = np.array([h + (int(cuts[i]) << 16) for i, r in enumerate(rows) for h in r["hits"]], np.int64)
     words, found = hits >> 16, hits & 0xFFFF
-    use = words < cuts[some]
-    field = train(hashes, words[use], found[use], cuts[: some + 1], labels_[:some])
+    learned = min(int((~kept).sum()), 1 + int(np.searchsorted(cuts[1:], FIT_WORDS)))
+    use = words < cuts[learned]
+    field = train(hashes, words[use], found[use], cuts[: learned + 1], marked[:learned])
     odds, _ = log_odds(field, words, found, int(cuts[-1]), cuts)
     p = chain(odds, cuts, field.steps)[2] if len(odds) else odds
     # each label weighs as in the whole table
-    weights = np.array([1 / share[int(t)] for t in labels_])
-    slope, shift = calibrate(offence(p, cuts), labels_, weights / weights.mean())
+    weights = np.array([1 / share[int(t)] for t in marked])
+    judged = kept if len(set(marked[kept])) == 2 else np.ones(len(kept), bool)
+    slope, shift = calibrate(offence(p, cuts)[judged], marked[judged], (weights / weights.mean())[judged])
     return field._replace(slope=slope, shift=shift)
 
 
