@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import langid, mixing, simhash, substrings, templates, toxicity
+from millrace.llm import langid, mixing, secrets, simhash, substrings, templates, toxicity
 from millrace.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +22,12 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    return found.withColumn("secret_sha256", F.sha2(F.col("value"), 256)).drop("text_hash", "value")
+
+
 @query
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).drop("text_hash")
