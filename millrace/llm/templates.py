@@ -16,8 +16,8 @@ from millrace.session import cut_lineage
 WINDOW = 10
 #: Words of a window that are no placeholders, and different ones among them; with fewer, a window says too little.
 LITERALS, DIFFERENT = 5, 4
-#: Benchmark windows (16 bytes and overhead each) up to which their index is broadcast; a larger one is joined by a shuffle.
-BROADCAST_ROWS = 1_000_000
+#: Benchmark windows up to which their hashes (8 bytes each) go to all tasks as one set; the documents of a larger benchmark are exploded and joined by a shuffle.
+SET_ROWS = 100_000
 
 NUMBER, NAME, UNIT = "<num>", "<name>", "<unit>"
 
@@ -79,6 +79,36 @@ def benchmark_windows(items: DataFrame, id_col: str, text_col: str, window: int)
     return each.filter(enough).withColumn("hash", F.xxhash64("item_template"))
 
 
+def met_in_set(cut: DataFrame, index: DataFrame, widths: list[int]) -> DataFrame:
+    """All documents with the ``places`` of their windows that are in the index, mostly none; each is tested where it is read, nothing is shuffled."""
+    hashes = {w: [] for w in widths}
+    for row in index.select("width", "hash").distinct().collect():
+        hashes[row["width"]].append(row["hash"])
+
+    def at(width: int) -> Column:
+        words = F.col("template")
+        places = F.filter(starts(words, width), lambda i: F.xxhash64(F.slice(words, i, F.lit(width))).isin(hashes[width]))
+        return F.transform(places, lambda i: F.struct(i.alias("at"), F.lit(width).alias("width")))
+
+    places = F.concat(*[at(w) for w in widths]) if widths else F.array().cast("array<struct<at:int,width:int>>")
+    # a filter here would move below the templates and make them anew for every window
+    return cut.withColumn("places", places)
+
+
+def met_in_join(cut: DataFrame, index: DataFrame, widths: list[int]) -> DataFrame:
+    """The same for a benchmark of any size: all windows are exploded, joined with the index by their hash, and gathered per document."""
+    rows = None
+    for width in widths:
+        own = cut.select("id", "text_hash", F.posexplode_outer(window_hashes(F.col("template"), width)).alias("at", "hash"))
+        own = own.select("id", "text_hash", (F.col("at") + 1).alias("at"), F.lit(width).alias("width"), "hash")
+        rows = own if rows is None else rows.unionByName(own)
+    hit = rows.join(index.select("hash", "width").distinct(), ["hash", "width"], "left_semi")
+    # places of a document; at most as many as it has words
+    hit = hit.groupBy(F.col("id").alias("own_id"), F.col("text_hash").alias("own_hash")).agg(F.collect_set(F.struct("at", "width")).alias("places"))
+    hit = cut_lineage(hit, "hits")
+    return cut.join(hit, F.col("id").eqNullSafe(F.col("own_id")) & (F.col("text_hash") == F.col("own_hash"))).drop("own_id", "own_hash")
+
+
 def one_to_one(pairs: Column) -> Column:
     """Whether (a, b) pairs match every a with one b and every b with one a."""
     kinds = F.size(F.array_distinct(pairs))
@@ -95,7 +125,7 @@ def contaminations(
     item_id_col: str = "item_id",
     item_text_col: str = "text",
     window: int = WINDOW,
-    broadcast_rows: int = BROADCAST_ROWS,
+    set_rows: int = SET_ROWS,
 ) -> DataFrame:
     """One row for each document and benchmark item that share a consistent window: ``id_col``, ``text_hash``, ``item_id``, ``windows``, ``share``, ``exact``.
 
@@ -105,28 +135,17 @@ def contaminations(
     """
     index = cut_lineage(benchmark_windows(items, item_id_col, item_text_col, window), "benchmark")
     widths = [r["width"] for r in index.select("width").distinct().orderBy("width").collect()]
-    small = index.count() <= broadcast_rows
-    sized = lambda df: F.broadcast(df) if small else df
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-    if not widths:
-        widths = [window]
-    cut = texts.select("id", "text_hash", split_words(template(plain(F.col("text")))).alias("template"))
-    windows = None
-    for width in widths:
-        # at most WINDOW widths, one unless items are shorter than a window
-        own = cut.select("id", "text_hash", F.posexplode(window_hashes(F.col("template"), width)).alias("at", "hash")).withColumn("width", F.lit(width))
-        windows = own if windows is None else windows.unionByName(own)
-    hit = windows.join(sized(index.select("hash", "width").distinct()), ["hash", "width"], "left_semi")
-    # places per document; at most as many as it has words
-    hit = cut_lineage(hit.groupBy("id", "text_hash").agg(F.collect_set(F.struct("at", "hash", "width")).alias("places")), "hits")
-
-    own_id = hit.select(F.col("id").alias("own_id"), F.col("text_hash").alias("own_hash"), "places")
-    found = texts.join(own_id, F.col("id").eqNullSafe(F.col("own_id")) & (F.col("text_hash") == F.col("own_hash")))
-    words = plain(F.col("text"))
-    found = found.select("id", "text_hash", "places", split_words(words).alias("words"), split_words(template(words)).alias("template"))
-    part = lambda p, c: F.slice(F.col(c), p["at"] + 1, p["width"])
-    rows = F.transform("places", lambda p: F.struct(p["at"].alias("at"), p["hash"].alias("hash"), p["width"].alias("width"), part(p, "template").alias("template"), part(p, "words").alias("words")))
-    found = found.select("id", "text_hash", F.explode(rows).alias("w")).select("id", "text_hash", "w.*")
+    # words and template are kept apart from what is made of them, so that each is made once
+    cut = texts.select("id", "text_hash", plain(F.col("text")).alias("plain")).select("id", "text_hash", "plain", split_words(template(F.col("plain"))).alias("template"))
+    small = index.count() <= set_rows
+    sized = lambda df: F.broadcast(df) if small else df
+    found = met_in_set(cut, index, widths) if small else met_in_join(cut, index, widths)
+    found = found.withColumn("words", split_words(F.col("plain")))
+    part = lambda p, c: F.slice(F.col(c), p["at"], p["width"])
+    rows = F.transform("places", lambda p: F.struct(p["at"].alias("at"), p["width"].alias("width"), part(p, "template").alias("template"), part(p, "words").alias("words")))
+    found = found.select("id", "text_hash", F.explode_outer(rows).alias("w")).filter("w is not null")
+    found = found.select("id", "text_hash", "w.*").withColumn("hash", F.xxhash64("template"))
     met = found.join(sized(index), ["hash", "width"]).filter(F.col("template") == F.col("item_template"))
     slots = F.filter(
         F.zip_with(F.arrays_zip(F.col("item_words").alias("a"), F.col("words").alias("b")), "template", lambda p, t: F.struct(p["a"].alias("a"), p["b"].alias("b"), t.alias("t"))),
