@@ -79,14 +79,18 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # the pieces between candidates are one more than the candidates
     pairs = F.filter(F.arrays_zip("around", "values"), lambda p: p["values"].isNotNull())
     placed = cut.withColumn("starts", F.aggregate(pairs, zero, step)["starts"])
+    # all that a candidate needs stands in one array, so that nothing is made anew for each
+    behind = F.slice("around", F.lit(2), F.size("values"))
+    zipped = F.arrays_zip("values", "starts", F.slice("around", F.lit(1), F.size("values")).alias("ahead"), behind.alias("behind"))
     rows = F.transform(
-        "values",
-        lambda v, i: F.struct(
-            F.element_at("starts", i + 1).alias("start"), F.length(v).cast("bigint").alias("n_chars"), v.alias("value"),
-            F.right(F.element_at("around", i + 1), F.lit(BESIDE)).alias("before"), F.left(F.element_at("around", i + 2), F.lit(BESIDE)).alias("after"),
+        zipped,
+        lambda z: F.struct(
+            z["starts"].alias("start"), F.length(z["values"]).cast("bigint").alias("n_chars"), z["values"].alias("value"),
+            F.right(z["ahead"], F.lit(BESIDE)).alias("before"), F.left(z["behind"], F.lit(BESIDE)).alias("after"),
         ),
     )
-    return placed.select("id", "text_hash", "path", F.explode(rows).alias("c")).select("id", "text_hash", "path", "c.*")
+    # not a plain explode: it would be tested for rows below, by making them twice
+    return placed.select("id", "text_hash", "path", F.explode_outer(rows).alias("c")).filter("c is not null").select("id", "text_hash", "path", "c.*")
 
 
 def described(found: DataFrame) -> DataFrame:
