@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.fingerprint import python_text, row_md5
 from millrace.ingest.specs import IngestSpec
+from millrace.session import cut_lineage
 from millrace.sinks.writers import append_by_name, truncate_load
 
+#: The table property that holds the latest change time loaded.
+KEPT = "millrace.loaded_until"
+
 
 def now_text() -> str:
     return datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
@@ -66,22 +70,32 @@ def drop_loaded(stamped: DataFrame, target: DataFrame, spec: IngestSpec, since:
     return stamped.join(seen, [spec.key, "src_fields_md5"], "left_anti").select(*stamped.columns)
 
 
-def rows_of_load(target: DataFrame, load_time: str) -> int:
-    """Rows stamped with ``load_time``; file statistics let the scan pass over the files of other loads."""
-    return target.filter(F.col("createts") == load_time).count()
+def loaded_until(spark: SparkSession, target: str) -> datetime.datetime | None:
+    """The watermark kept with the table by the last load; only a table without one is scanned."""
+    kept = spark.sql(f"SHOW TBLPROPERTIES {target}").filter(F.col("key") == KEPT).select("value").collect()
+    if not kept:
+        return read_watermark(spark.table(target))
+    return datetime.datetime.fromisoformat(kept[0]["value"]) if kept[0]["value"] else None
 
 
 def ingest(source: DataFrame, target: str, spec: IngestSpec, load_time: str | None = None, inclusive: bool = False) -> int:
-    """Load one table and return the number of rows written, without pulling the source a second time."""
+    """Load one table and return the number of rows written, at the cost of the batch, not of the table.
+
+    The batch is written to a folder of its own, which gives its rows (from the footers) and its latest change time. That is kept with the
+    table after the rows are in it: a load that fails in between is repeated from the older time, where ``inclusive`` finds what is there already.
+    """
     spark = source.sparkSession
     loaded = load_time or now_text()
     if spec.changed is None:
         return truncate_load(stamp(pull(source, spec, None), spec, loaded), target)
-    before = spark.table(target)
-    since = read_watermark(before)
+    since = loaded_until(spark, target)
     rows = stamp(pull(source, spec, since, inclusive), spec, loaded)
     if inclusive:
-        rows = drop_loaded(rows, before, spec, since)
-    already = rows_of_load(before, loaded)
-    append_by_name(rows, target)
-    return rows_of_load(spark.table(target), loaded) - already
+        rows = drop_loaded(rows, spark.table(target), spec, since)
+    batch = cut_lineage(rows, "batch")
+    written = batch.count()
+    latest = read_watermark(batch)
+    append_by_name(batch, target)
+    until = max((t for t in (since, latest) if t is not None), default=None)
+    spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ('{KEPT}' = '{until.isoformat() if until else ''}')")
+    return written

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.skew import salted_join
+from millrace.session import cut_lineage
 
 
 def tf_idf(tokens: DataFrame, documents: int, doc: str = "doc_id", word: str = "word") -> DataFrame:
@@ -13,7 +14,8 @@ def tf_idf(tokens: DataFrame, documents: int, doc: str = "doc_id", word: str = "
 
     A word in nearly every document is a hot key of the join with the document frequencies, hence the salted join.
     """
-    tf = tokens.groupBy(doc, word).agg(F.count(F.lit(1)).alias("tf"))
+    # written once: the counts per document and the document frequencies come from the same tokens
+    tf = cut_lineage(tokens.groupBy(doc, word).agg(F.count(F.lit(1)).alias("tf")), "terms")
     frequency = tf.groupBy(word).agg(F.count(F.lit(1)).alias("df"))
     weight = F.col("tf") * F.log(F.lit(float(documents + 1)) / (F.col("df") + 1))
     counts = frequency.select(word, F.col("df").alias("n"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -20,13 +22,13 @@ def nearest(values: Column, centres: list[list[float]]) -> Column:
     return F.array_min(F.array(*distances))["i"]
 
 
-def kmeans(points: DataFrame, values: str, centres: list[list[float]], limit: float, max_rounds: int) -> list[list[float]]:
+def kmeans(points: DataFrame, values: str, centres: list[list[float]], limit: float, max_rounds: int | None = None) -> list[list[float]]:
     """Move the k centres to the mean of their points until they move less than ``limit`` in total.
 
     Only k vectors pass through the driver per round. A centre without points stays where it is.
     """
     centres = [list(c) for c in centres]
-    for _ in range(max_rounds):
+    for _ in count() if max_rounds is None else range(max_rounds):
         grouped = points.select(nearest(F.col(values), centres).alias("cluster"), array_to_vector(values).alias("v"))
         means = grouped.groupBy("cluster").agg(vector_to_array(Summarizer.mean(F.col("v"))).alias("mean")).collect()
         moved = 0.0

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.skew import number_rows
-
-
-def bernoulli(df: DataFrame, fraction: float, seed: int, replacement: bool = False) -> DataFrame:
-    return df.sample(withReplacement=replacement, fraction=fraction, seed=seed)
+from millrace.session import cut_lineage
 
 
 def random_order(keys: list[str], seed: int) -> list[Column]:
@@ -43,25 +40,50 @@ def fixed_size_with_replacement(df: DataFrame, n: int, keys: list[str], seed: in
     return draws.join(numbered, "__row").drop("__row")
 
 
-def stratified(df: DataFrame, key: str, fractions: dict, seed: int, replacement: bool = False) -> DataFrame:
-    """A fraction per key; keys without a fraction are left out.
+def uniform(keys: list[str], seed: int) -> Column:
+    """A number in [0, 1) that depends on the row's keys only, so that it is the same on any number of executors."""
+    return md5_number(F.concat_ws("|", *keys, F.lit(str(seed)))) / F.lit(float(1 << 60))
 
-    Without replacement this is one pass. With replacement (a Poisson number of copies per row) each key of
-    the given table is one filtered pass.
-    """
+
+def poisson_steps(mean: float) -> list[float]:
+    """The values of the Poisson distribution function below one."""
+    steps, term = [], math.exp(-mean)
+    while not steps or steps[-1] < 1.0 and term > 1e-17:
+        steps.append((steps[-1] if steps else 0.0) + term)
+        term *= mean / len(steps)
+    return steps
+
+
+def _copied(df: DataFrame, copies: Column) -> DataFrame:
+    drawn = df.withColumn("__copies", copies).filter("__copies > 0")
+    return drawn.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).drop("__copies", "__copy")
+
+
+def bernoulli(df: DataFrame, fraction: float, seed: int, keys: list[str], replacement: bool = False) -> DataFrame:
+    """Each row with probability ``fraction``, or with replacement a Poisson number of times; one pass, repeatable."""
+    u = uniform(keys, seed)
     if not replacement:
-        return df.sampleBy(key, fractions, seed)
-    parts = [
-        df.filter(F.col(key) == value).sample(withReplacement=True, fraction=fraction, seed=seed + i)
-        for i, (value, fraction) in enumerate(fractions.items())
-    ]
-    return reduce(DataFrame.unionByName, parts)
+        return df.filter(u < fraction)
+    return _copied(df, sum(((u >= step).cast("int") for step in poisson_steps(fraction)), F.lit(0)))
+
+
+def stratified(df: DataFrame, key: str, fractions: dict, seed: int, keys: list[str], replacement: bool = False) -> DataFrame:
+    """A fraction per value of ``key``; values without a fraction are left out. One pass, whatever the number of values.
+
+    The fractions are the caller's and as small as they came, hence the broadcast.
+    """
+    kind = df.schema[key].dataType.simpleString()
+    steps = [(value, poisson_steps(f) if replacement else [1.0 - f]) for value, f in fractions.items()]
+    table = F.broadcast(df.sparkSession.createDataFrame(steps, f"__value {kind}, __steps array<double>"))
+    joined = df.join(table, F.col(key) == F.col("__value"))
+    u = uniform(keys, seed)
+    return _copied(joined, F.size(F.filter("__steps", lambda step: u >= step))).drop("__value", "__steps")
 
 
 def key_shares(df: DataFrame, key: str) -> DataFrame:
-    """(key, n, share): the one-row total joins the few key rows."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1))).first()[0]
+    """(key, n, share); the total is the sum of the counts, the table is read once."""
+    counts = cut_lineage(df.groupBy(key).agg(F.count(F.lit(1)).alias("n")), "shares")
+    total = counts.agg(F.sum("n")).first()[0] or 0
     return counts.withColumn("share", F.col("n") / F.lit(max(total, 1)))
 
 

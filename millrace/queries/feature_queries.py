@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import zipfile
-from pathlib import Path
-
-import pyspark
 from pyspark.ml.feature import (
     IDF,
     PCA,
@@ -239,24 +235,32 @@ def ml_regex_tokenizer(spark, sf_dir):
     return token_rows(RegexTokenizer(inputCol="text", outputCol="tokens", pattern=r"\W").transform(documents))
 
 
-def english_stop_words() -> list[str]:
-    """Spark's own English list, read from its library so that the SQL form can name the same words."""
-    jars = Path(pyspark.__file__).parent / "jars"
-    for jar in sorted(jars.glob("spark-mllib_*.jar")):
-        with zipfile.ZipFile(jar) as content:
-            text = content.read("org/apache/spark/ml/feature/stopwords/english.txt").decode("utf-8")
-            return [w for w in text.splitlines() if w]
-    return []
+#: The English stop words of the remover's default, given to it and to the SQL alike. Fixed values.
+ENGLISH_STOP_WORDS = [
+    "i", "me", "my", "myself", "we", "our", "ours", "ourselves", "you", "your", "yours", "yourself", "yourselves", "he", "him", "his",
+    "himself", "she", "her", "hers", "herself", "it", "its", "itself", "they", "them", "their", "theirs", "themselves", "what", "which",
+    "who", "whom", "this", "that", "these", "those", "am", "is", "are", "was", "were", "be", "been", "being", "have", "has", "had",
+    "having", "do", "does", "did", "doing", "a", "an", "the", "and", "but", "if", "or", "because", "as", "until", "while", "of", "at",
+    "by", "for", "with", "about", "against", "between", "into", "through", "during", "before", "after", "above", "below", "to", "from",
+    "up", "down", "in", "out", "on", "off", "over", "under", "again", "further", "then", "once", "here", "there", "when", "where", "why",
+    "how", "all", "any", "both", "each", "few", "more", "most", "other", "some", "such", "no", "nor", "not", "only", "own", "same", "so",
+    "than", "too", "very", "s", "t", "can", "will", "just", "don", "should", "now", "i'll", "you'll", "he'll", "she'll", "we'll",
+    "they'll", "i'd", "you'd", "he'd", "she'd", "we'd", "they'd", "i'm", "you're", "he's", "she's", "it's", "we're", "they're", "i've",
+    "we've", "you've", "they've", "isn't", "aren't", "wasn't", "weren't", "haven't", "hasn't", "hadn't", "don't", "doesn't", "didn't",
+    "won't", "wouldn't", "shan't", "shouldn't", "mustn't", "can't", "couldn't", "cannot", "could", "here's", "how's", "let's", "ought",
+    "that's", "there's", "what's", "when's", "where's", "who's", "why's", "would",
+]
 
 
 def _stop_sql() -> str:
-    quoted = ", ".join("'" + w.lower().replace("'", "''") + "'" for w in english_stop_words())
+    quoted = ", ".join("'" + w.lower().replace("'", "''") + "'" for w in ENGLISH_STOP_WORDS)
     return _digest_sql(f"list_filter({TOKENS}, lambda x: not list_contains([{quoted}], x))")
 
 
 @query("ml_stopwords", _stop_sql())
 def ml_stopwords(spark, sf_dir):
-    return token_rows(StopWordsRemover(inputCol="tokens", outputCol="kept").transform(tokenized(spark, sf_dir)), "kept")
+    remover = StopWordsRemover(inputCol="tokens", outputCol="kept", stopWords=ENGLISH_STOP_WORDS)
+    return token_rows(remover.transform(tokenized(spark, sf_dir)), "kept")
 
 
 @query(
@@ -294,17 +298,7 @@ def ml_tf_idf_hashed(spark, sf_dir):
 
 @query("ml_word2vec")
 def ml_word2vec(spark, sf_dir):
-    # the vocabulary is model state: a minimum count keeps it bounded on large texts
+    # every word counts, so the vocabulary is the driver's model state; the number of partitions is part of the result and fixed
     words = tokenized(spark, sf_dir)
-    top = words.select(F.explode_outer("tokens").alias("word")).filter("word is not null").groupBy("word").count().orderBy(F.desc("count"), "word").first()["word"]
-    word2vec = Word2Vec(
-        vectorSize=3,
-        minCount=5,
-        seed=42,
-        maxIter=1,
-        numPartitions=spark.sparkContext.defaultParallelism,
-        inputCol="tokens",
-        outputCol="v",
-    )
-    model = word2vec.fit(words)
-    return model.findSynonyms(top, 40).withColumn("of", F.lit(top))
+    model = Word2Vec(vectorSize=3, minCount=0, seed=42, maxIter=1, numPartitions=4, inputCol="tokens", outputCol="v").fit(words)
+    return unpacked(model.transform(words), "v", ["v0", "v1", "v2"], keys=["doc_id"])

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.recommendation import ALS
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.graph import page_rank, transitive_closure
@@ -13,8 +16,11 @@ from millrace.operators.sampling import (
     fixed_size_with_replacement,
     hash_split,
     key_shares,
+    poisson_steps,
+    random_order,
     stratified,
 )
+from millrace.queries.model_queries import ratings
 from millrace.registry import query
 from millrace.session import cut_lineage, table
 
@@ -80,19 +86,25 @@ c{i} as (select k, list(m order by pos) as c from (
 """
 
 
+#: Rounds of the SQL form; the points of the test tables stand still well before.
+KMEANS_ROUNDS = 60
+
+
 @query(
     "it_kmeans",
     f"""with p as (select vec_id, embedding::double[] as v from embeddings),
-        c0 as (select row_number() over (order by vec_id) - 1 as k, v as c from p qualify row_number() over (order by vec_id) <= 4),
-        {_KMEANS_ROUND.format(i=1, j=0)}, {_KMEANS_ROUND.format(i=2, j=1)}
+        c0 as (select row_number() over (order by md5(vec_id || '|1'), vec_id) - 1 as k, v as c from p
+               qualify row_number() over (order by md5(vec_id || '|1'), vec_id) <= 4),
+        {", ".join(_KMEANS_ROUND.format(i=i, j=i - 1) for i in range(1, KMEANS_ROUNDS + 1))}
         select vec_id, k::integer as cluster, round(dist, 5) as distance from (
           select p.vec_id, c.k, list_sum(list_transform(list_zip(p.v, c.c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) as dist,
-                 row_number() over (partition by p.vec_id order by dist, c.k) as rn from p, c2 c) where rn = 1""",
+                 row_number() over (partition by p.vec_id order by dist, c.k) as rn from p, c{KMEANS_ROUNDS} c) where rn = 1""",
 )
 def it_kmeans(spark, sf_dir):
     points = embedding_points(spark, sf_dir)
-    start = [row["v"] for row in points.orderBy("vec_id").limit(4).collect()]
-    centres = kmeans(points, "v", start, 0.0, 2)
+    # a seeded sample of four points, moved until they stand still
+    start = [row["v"] for row in fixed_size(points, 4, ["vec_id"], 1).orderBy(*random_order(["vec_id"], 1)).collect()]
+    centres = kmeans(points, "v", start, 1e-9)
     cluster = nearest(F.col("v"), centres)
     own = F.element_at(F.lit(centres), F.col("cluster") + 1)
     return points.withColumn("cluster", cluster).select(
@@ -138,25 +150,35 @@ def it_logistic_gd(spark, sf_dir):
 
 @query("it_als")
 def it_als(spark, sf_dir):
-    bought = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    ratings = cut_lineage(
-        bought.groupBy(F.col("o_custkey").cast("int").alias("user"), F.col("l_partkey").cast("int").alias("item"))
-        .agg(F.avg("l_quantity").alias("rating"))
-    )
+    # the error after each of five rounds
+    known = cut_lineage(ratings(spark, sf_dir))
     errors = []
-    for rounds in (1, 5):
-        model = ALS(rank=10, maxIter=rounds, regParam=0.01, userCol="user", itemCol="item", ratingCol="rating", seed=42).fit(ratings)
+    for rounds in range(1, 6):
+        model = ALS(rank=10, maxIter=rounds, regParam=0.01, userCol="user", itemCol="item", ratingCol="rating", seed=42).fit(known)
         rmse = F.sqrt(F.avg(F.pow(F.col("rating") - F.col("prediction"), 2)))
-        errors.append(model.transform(ratings).agg(F.lit(rounds).alias("rounds"), rmse.alias("rmse")))
-    return errors[0].unionByName(errors[1])
+        errors.append(model.transform(known).agg(F.lit(rounds).alias("rounds"), rmse.alias("rmse")))
+    return reduce(DataFrame.unionByName, errors)
 
 
 # ---------------------------------------------------------------- sampling
 
 
-@query("smp_bernoulli")
+def _uniform_sql(text: str) -> str:
+    return f"(('0x' || substr(md5({text}), 1, 15))::bigint / {float(1 << 60)!r}::double)"
+
+
+def _copies_sql(u: str, mean: float) -> str:
+    return " + ".join(f"({u} >= {step!r}::double)::integer" for step in poisson_steps(mean))
+
+
+@query(
+    "smp_bernoulli",
+    f"""with l as (select l_orderkey, l_linenumber, {_uniform_sql("l_orderkey || '|' || l_linenumber || '|7'")} as u from lineitem)
+        select l_orderkey, l_linenumber from (select l_orderkey, l_linenumber, {_copies_sql("u", 0.1)} as copies from l), range(20) r(i) where i < copies""",
+)
 def smp_bernoulli(spark, sf_dir):
-    return bernoulli(table(spark, sf_dir, "lineitem"), 0.1, 7, replacement=True).select("l_orderkey", "l_linenumber")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    return bernoulli(lines, 0.1, 7, ["l_orderkey", "l_linenumber"], replacement=True)
 
 
 @query(
@@ -174,11 +196,19 @@ def smp_fixed_size(spark, sf_dir):
     return without.unionByName(again)
 
 
-@query("smp_stratified")
+@query(
+    "smp_stratified",
+    f"""with o as (select o_orderkey, o_orderstatus, {_uniform_sql("o_orderkey || '|11'")} as u from orders),
+        c as (select o_orderstatus, case o_orderstatus when 'F' then {_copies_sql("u", 0.1)} when 'O' then {_copies_sql("u", 0.2)}
+              when 'P' then {_copies_sql("u", 0.3)} else 0 end as copies from o),
+        k as (select o_orderstatus, count(*) as before, sum(copies)::bigint as after from c group by 1)
+        select o_orderstatus, before, before / (select sum(before) from k) as share_before, nullif(after, 0) as after,
+               case when after > 0 then after / (select sum(after) from k) end as share_after from k""",
+)
 def smp_stratified(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     fractions = {"F": 0.1, "O": 0.2, "P": 0.3}
-    taken = stratified(orders, "o_orderstatus", fractions, 11, replacement=True)
+    taken = stratified(orders, "o_orderstatus", fractions, 11, ["o_orderkey"], replacement=True)
     before = key_shares(orders, "o_orderstatus").select("o_orderstatus", F.col("n").alias("before"), F.col("share").alias("share_before"))
     after = key_shares(taken, "o_orderstatus").select("o_orderstatus", F.col("n").alias("after"), F.col("share").alias("share_after"))
     return before.join(after, "o_orderstatus", "left")

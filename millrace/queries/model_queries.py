@@ -38,6 +38,7 @@ from millrace.ml.metrics import (
 )
 from millrace.operators.sampling import hash_split
 from millrace.queries.aggregates import embedding_vectors
+from millrace.operators.skew import number_rows
 from millrace.registry import query
 from millrace.session import cut_lineage, scratch_path, table
 
@@ -132,12 +133,12 @@ def ml_random_forest_regressor(spark, sf_dir):
 
 @query("ml_gbt")
 def ml_gbt(spark, sf_dir):
-    return classifier_report(spark, sf_dir, GBTClassifier(maxIter=3, seed=42), binary=True)
+    return classifier_report(spark, sf_dir, GBTClassifier(maxIter=10, seed=42), binary=True)
 
 
 @query("ml_gbt_regressor")
 def ml_gbt_regressor(spark, sf_dir):
-    return regressor_report(spark, sf_dir, GBTRegressor(maxIter=3, seed=42))
+    return regressor_report(spark, sf_dir, GBTRegressor(maxIter=10, seed=42))
 
 
 @query("ml_aft_survival")
@@ -149,7 +150,7 @@ def ml_aft_survival(spark, sf_dir):
         days.alias("label"), (F.col("l_linestatus") == "F").cast("double").alias("censor"), "l_quantity", "l_discount"
     )
     points = VectorAssembler(inputCols=["l_quantity", "l_discount"], outputCol="features").transform(rows)
-    model = AFTSurvivalRegression(quantileProbabilities=[0.3, 0.6], quantilesCol="quantiles", maxIter=20).fit(points)
+    model = AFTSurvivalRegression(quantileProbabilities=[0.3, 0.6], quantilesCol="quantiles").fit(points)
     q = vector_to_array("quantiles")
     return model.transform(points).agg(
         F.avg("prediction").alias("mean_prediction"), F.avg(q[0]).alias("q30"), F.avg(q[1]).alias("q60"), F.count(F.lit(1)).alias("n")
@@ -206,9 +207,9 @@ def text_stages(features=1000):
 
 @query("ml_text_classification")
 def ml_text_classification(spark, sf_dir):
-    train, test = split(labelled_documents(spark, sf_dir), ["doc_id"])
-    model = Pipeline(stages=list(text_stages())).fit(train)
-    return model.transform(test).select("doc_id", "label", "prediction")
+    # fitted on the labelled documents, scored on all
+    model = Pipeline(stages=list(text_stages())).fit(labelled_documents(spark, sf_dir))
+    return model.transform(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "prediction")
 
 
 @query("ml_cross_validation")
@@ -231,7 +232,7 @@ def ml_cross_validation(spark, sf_dir):
 @query("ml_perceptron")
 def ml_perceptron(spark, sf_dir):
     train, test = split(embeddings(spark, sf_dir), ["vec_id"])
-    net = MultilayerPerceptronClassifier(maxIter=50, layers=[64, 16, 12, 10], blockSize=128, seed=1234)
+    net = MultilayerPerceptronClassifier(maxIter=100, layers=[64, 16, 12, 10], blockSize=128, seed=1234)
     return net.fit(train).transform(test).select("vec_id", "label", "prediction")
 
 
@@ -254,19 +255,46 @@ def ml_kmeans(spark, sf_dir):
     return model.transform(points).select("vec_id", "prediction", F.lit(cost).alias("cost"))
 
 
+@query("ml_kmeans_centres")
+def ml_kmeans_centres(spark, sf_dir):
+    # k rows
+    model = KMeans(k=4, seed=42, maxIter=20).fit(embedding_vectors(spark, sf_dir))
+    return spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())], "cluster int, centre array<double>")
+
+
+def mixture(points):
+    return GaussianMixture(k=2, tol=0.001, maxIter=100, seed=42).fit(points)
+
+
+@query("ml_gmm_components")
+def ml_gmm_components(spark, sf_dir):
+    # weight, mu and sigma (by columns) of each of the k components
+    model = mixture(embedding_vectors(spark, sf_dir))
+    rows = [
+        (i, float(w), [float(x) for x in g.mean], [float(x) for x in g.cov.toArray().flatten(order="F")])
+        for i, (w, g) in enumerate(zip(model.weights, model.gaussiansDF.collect()))
+    ]
+    return spark.createDataFrame(rows, "component int, weight double, mu array<double>, sigma array<double>")
+
+
 @query("ml_gmm")
 def ml_gmm(spark, sf_dir):
     points = embedding_vectors(spark, sf_dir)
-    model = GaussianMixture(k=2, tol=0.001, maxIter=20, seed=42).fit(points)
+    model = mixture(points)
     weights = F.array(*[F.lit(float(w)) for w in model.weights])
     return model.transform(points).select("vec_id", "prediction", F.element_at(weights, F.col("prediction") + 1).alias("weight"))
 
 
+def dense_ids(df, column, name):
+    """``column`` replaced by ``name``, numbered from 1: the estimator takes 32-bit ids only."""
+    ids = number_rows(df.select(column).distinct(), [F.col(column)], name)
+    return df.join(ids.withColumn(name, F.col(name).cast("int")), column).drop(column)
+
+
 def ratings(spark, sf_dir):
     bought = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    return bought.groupBy(F.col("o_custkey").cast("int").alias("user"), F.col("l_partkey").cast("int").alias("item")).agg(
-        F.avg("l_quantity").alias("rating")
-    )
+    rated = bought.groupBy("o_custkey", "l_partkey").agg(F.avg("l_quantity").alias("rating"))
+    return dense_ids(dense_ids(cut_lineage(rated), "o_custkey", "user"), "l_partkey", "item")
 
 
 @query("ml_als")
@@ -284,11 +312,10 @@ ITEM_SQL = """items as (
 
 @query(
     "ml_fpgrowth",
-    f"""with {ITEM_SQL}, n as (select count(*) * 0.2 as least from lineitem)
-        select item as a, '' as b, count(*) as freq from items group by item having count(*) >= (select least from n)
-        union all
-        select x.item, y.item, count(*) from items x join items y on x.id = y.id and x.item < y.item
-        group by 1, 2 having count(*) >= (select least from n)""",
+    f"""with {ITEM_SQL}, r as (select id, list(item order by item) as items from items group by id),
+        subsets as (select array_to_string(list_filter(items, lambda x, i: (mask >> (i - 1)) & 1 = 1), '|') as items, bit_count(mask)::integer as size
+                    from r, (select unnest(range(1, 32)) as mask))
+        select items, size, count(*) as freq from subsets group by 1, 2 having count(*) >= (select count(*) * 0.2 from lineitem)""",
 )
 def ml_fpgrowth(spark, sf_dir):
     def tag(name, value):
@@ -305,10 +332,7 @@ def ml_fpgrowth(spark, sf_dir):
         ).alias("items")
     )
     found = FPGrowth(minSupport=0.2, minConfidence=0.5, itemsCol="items").fit(rows).freqItemsets
-    ordered = F.array_sort("items")
-    return found.filter(F.size("items") <= 2).select(
-        ordered[0].alias("a"), F.coalesce(F.get(ordered, F.lit(1)), F.lit("")).alias("b"), "freq"
-    )
+    return found.select(F.array_join(F.array_sort("items"), "|").alias("items"), F.size("items").alias("size"), "freq")
 
 
 @query(

@@ -58,8 +58,8 @@ def table_location(spark: SparkSession, name: str) -> str:
     return rows[0][0]
 
 
-def truncate_load(df: DataFrame, name: str) -> int:
-    """Replace the content of ``name``; an empty result leaves the table alone. Returns the number of rows.
+def truncate_load(df: DataFrame, name: str, keep_if_empty: bool = False) -> int:
+    """Replace the content of ``name`` and return the number of rows; with ``keep_if_empty`` an empty result leaves the table alone.
 
     The new content goes to its own folder and the table is pointed there once it is complete: readers meet
     the old rows or the new rows, never an empty table, and a failed load changes nothing.
@@ -70,7 +70,7 @@ def truncate_load(df: DataFrame, name: str) -> int:
     df.select(*target.columns).write.format("parquet").save(folder)
     # the row count comes from the file footers
     rows = spark.read.schema(target.schema).parquet(folder).count()
-    if rows > 0:
+    if rows > 0 or not keep_if_empty:
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
         spark.catalog.refreshTable(name)
     return rows

@@ -75,13 +75,16 @@ def sql_per_batch(stream: DataFrame, view: str, sql: str, out: str, checkpoint:
     return per_batch(stream, run, out, checkpoint, interval)
 
 
-def printing(transform: Transform, rows: int = 10, emit: Callable[[str], None] = log.info) -> Transform:
-    """Wrap a transform so that the first rows of each batch's result are also shown."""
+def printing(
+    stream: DataFrame, transform: Transform, out: str, checkpoint: str, rows: int = 10, emit: Callable[[str], None] = log.info, interval: str | None = None
+) -> StreamingQuery:
+    """As :func:`per_batch`, and the first rows of each batch's result are shown, read from what was written."""
 
-    def run(batch: DataFrame) -> DataFrame:
+    def write(batch: DataFrame, batch_id: int) -> None:
+        folder = f"{out}/batch_id={batch_id}"
         result = transform(batch)
-        for row in result.take(rows):
+        result.write.mode("overwrite").parquet(folder)
+        for row in batch.sparkSession.read.schema(result.schema).parquet(folder).take(rows):
             emit(str(row))
-        return result
 
-    return run
+    return start(stream, checkpoint, write, "append", interval)

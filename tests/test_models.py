@@ -11,7 +11,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 import millrace.queries  # noqa: F401
-from millrace.queries.feature_queries import english_stop_words
+from millrace.queries.feature_queries import ENGLISH_STOP_WORDS
 from millrace.registry import QUERIES
 
 
@@ -83,7 +83,7 @@ def test_kmeans_and_mixture(spark, sf_dir):
 
 
 def test_stop_word_list_is_sparks(spark):
-    assert english_stop_words() == StopWordsRemover.loadDefaultStopWords("english")
+    assert ENGLISH_STOP_WORDS == StopWordsRemover.loadDefaultStopWords("english")
 
 
 def test_params_are_overridden(spark):

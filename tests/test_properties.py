@@ -302,7 +302,7 @@ def test_samples(spark):
     train, test = hash_split(df, ["id"], [0.7, 0.3])
     assert train.count() + test.count() == 1000 and train.join(test, "id").count() == 0
     for replacement in (False, True):
-        taken = {r["k"]: r["count"] for r in stratified(df, "k", {"a": 0.5, "b": 0.1}, 3, replacement).groupBy("k").count().collect()}
+        taken = {r["k"]: r["count"] for r in stratified(df, "k", {"a": 0.5, "b": 0.1}, 3, ["id"], replacement).groupBy("k").count().collect()}
         assert 100 < taken["a"] < 200 and 40 < taken["b"] < 105
 
 
@@ -355,14 +355,30 @@ def test_every_warehouse_spec_stamps(spark):
         assert stamped.first()["updatets"] == ("now" if spec.changed is None else "0")
 
 
-def test_full_refresh_skips_empty(spark):
+def test_full_refresh_empties_with_its_source(spark):
     spec = IngestSpec("f", ["id", "name"], None, labelled("F", 2))
     name = target(spark, spec)
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string")
     assert ingest(df, name, spec, "L1") == 2
     assert ingest(df.filter("id = 2"), name, spec, "L2") == 1
     assert ingest(df.limit(0), name, spec, "L3") == 0
-    assert [(r["id"], r["createts"], r["updatets"]) for r in spark.table(name).collect()] == [("2", "L2", "L2")]
+    assert spark.table(name).count() == 0
+    assert truncate_load(stamp(pull(df, spec, None), spec, "L4"), name) == 2
+    assert truncate_load(stamp(pull(df.limit(0), spec, None), spec, "L5"), name, keep_if_empty=True) == 0
+    assert {r["createts"] for r in spark.table(name).collect()} == {"L4"}
+
+
+def test_load_reads_no_target(spark, monkeypatch):
+    """The second load takes its watermark from the table's property and its rows from the batch."""
+    import millrace.ingest.run as run
+
+    name = target(spark, SPEC)
+    assert ingest(source(spark, (1, "a", "2020-01-01 00:00:00")), name, SPEC, "L1") == 1
+    frames = []
+    monkeypatch.setattr(run, "read_watermark", lambda df: frames.append(df.inputFiles()) or read_watermark(df))
+    assert ingest(source(spark, (1, "a", "2020-01-01 00:00:00"), (2, "b", "2020-01-03 00:00:00")), name, SPEC, "L2") == 1
+    assert len(frames) == 1 and all("/batch-" in f for f in frames[0])
+    assert str(run.loaded_until(spark, name)) == "2020-01-03 00:00:00" and spark.table(name).count() == 2
 
 
 def test_append_matches_names(spark):

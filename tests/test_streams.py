@@ -44,8 +44,7 @@ def test_bad_sql_ends_the_stream(spark, sf_dir):
 def test_printing_shows_some_rows(spark, sf_dir):
     _, out, ckpt = folders(spark)
     seen = []
-    show = printing(lambda b: count_by(b, "event_type"), rows=2, emit=seen.append)
-    drain(per_batch(table_stream(spark, sf_dir, "events"), show, out, ckpt))
+    drain(printing(table_stream(spark, sf_dir, "events"), lambda b: count_by(b, "event_type"), out, ckpt, rows=2, emit=seen.append))
     assert len(seen) == 2 and spark.read.parquet(out).count() == 5
 
 
@@ -56,3 +55,22 @@ def test_bounded_batches(spark, tmp_path):
     drain(per_batch(stream, lambda b: b.agg(F.count(F.lit(1)).alias("n")), out, ckpt))
     got = spark.read.parquet(out)
     assert got.count() > 1 and got.agg(F.sum("n")).first()[0] == 1000
+
+
+STREAMS = ["stm_files", "stm_socket", "stm_kafka", "stm_broker_other", "stm_queue", "stm_batch_count", "stm_running_count", "stm_sql_per_batch", "stm_recoverable", "stm_sink_print", "udf_state_update"]
+
+
+@pytest.mark.parametrize("name", STREAMS)
+def test_several_batches_give_the_same(spark, sf_dir, name, monkeypatch, tmp_path):
+    """Every stream query over tables of four files, one file a batch, against its SQL on the whole tables."""
+    import harness
+    from millrace.queries import stream_queries
+    from millrace.registry import ORACLES, QUERIES
+    from millrace.streaming import sources
+
+    for t in ("documents", "events", "conversations", "orders"):
+        spark.read.parquet(f"{sf_dir}/{t}.parquet").repartition(4).write.parquet(f"{tmp_path}/{t}.parquet")
+    narrow = lambda f, at: lambda *a: f(*a[:at], max_bytes=1)
+    monkeypatch.setattr(stream_queries, "table_stream", narrow(sources.table_stream, 3))
+    monkeypatch.setattr(stream_queries, "line_files", lambda spark, folder: spark.readStream.option("maxFilesPerTrigger", "1").text(folder))
+    assert harness.compare(QUERIES[name](spark, str(tmp_path)), harness.connect(sf_dir), ORACLES[name]) is None
