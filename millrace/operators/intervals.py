@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.times import epoch_seconds
 from millrace.operators.skew import ROWS_PER_SPLIT, salted_join
+from millrace.session import cut_lineage
 
 
 def contained_in(
@@ -23,27 +24,28 @@ def contained_in(
 
     A plain join on the key would try every attempt of a person with every window. Windows are sorted into classes by
     length (powers of two); a window covers at most two time slots of its class, and an attempt meets
-    only the windows that touch the slot of its start. Attempts are repeated once per class in use, of
-    which there are at most a few dozen. Busy slots are split further by the salted join.
+    only the windows that touch the slot of its start. Attempts of people without a window go no further, the others are repeated once per class
+    among their own person's windows. Busy slots are split further by the salted join.
     """
     usable = windows.filter(F.col("end_dt") >= F.col("start_dt")).withColumns(
         {"__from": epoch_seconds(F.col("start_dt")), "__to": epoch_seconds(F.col("end_dt"))}
     )
     length = F.greatest(F.col("__to") - F.col("__from"), F.lit(1)).cast("double")
     usable = usable.withColumn("__class", F.ceil(F.log2(length)).cast("int"))
-    classes = usable.agg(F.collect_set("__class")).first()[0]
     # slots of a class are 2 ** class seconds wide
     first, last = (F.call_function("shiftright", F.col(c), F.col("__class")) for c in ("__from", "__to"))
     opened = usable.withColumn("__slot", F.explode(F.sequence(first, last))).drop("__from", "__to")
+    # at most rows / rows_per_split people, counted once for both joins
+    busy = cut_lineage(attempts.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > rows_per_split), "busy")
+    # a few dozen classes at most
+    classes = usable.groupBy(key).agg(F.collect_set("__class").alias("__classes"))
     start = epoch_seconds(F.col("starttime"))
-    places = [
-        F.struct(F.lit(c).alias("__class"), F.shiftright(start, c).alias("__slot")) for c in sorted(classes) or [0]
-    ]
-    placed = attempts.select("*", F.inline(F.array(*places)))
+    place = F.transform("__classes", lambda c: F.struct(c.alias("__class"), F.call_function("shiftright", start, c).alias("__slot")))
+    own = salted_join(attempts, classes, key, counts=busy, rows_per_split=rows_per_split)
+    placed = own.select(*attempts.columns, F.inline(place))
     # only the slots of busy people are counted one by one
-    busy = attempts.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > rows_per_split).select(key)
     slots = [key, "__class", "__slot"]
-    counts = placed.join(F.broadcast(busy), key, "left_semi").groupBy(*slots).agg(F.count(F.lit(1)).alias("n"))
+    counts = placed.join(F.broadcast(busy.select(key)), key, "left_semi").groupBy(*slots).agg(F.count(F.lit(1)).alias("n"))
     inside = (F.col("starttime") >= F.col("start_dt")) & (F.col("endtime") <= F.col("end_dt"))
     joined = salted_join(
         placed, opened, slots, inside, "left_semi" if once else "inner", counts=counts, rows_per_split=rows_per_split

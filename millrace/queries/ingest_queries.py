@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.fingerprint import row_md5
 from millrace.ingest.run import ingest, pull, read_watermark, stamp, watermark
-from millrace.ingest.specs import IngestSpec, labelled
+from millrace.ingest.specs import WAREHOUSE, IngestSpec, labelled
 from millrace.registry import query
 from millrace.session import scratch_name, scratch_path, table
 from millrace.sinks.writers import append_by_name, create_table
@@ -139,27 +142,78 @@ def etl_row_count(spark, sf_dir):
     return spark.range(1).select(F.lit(first).cast("bigint").alias("first_load"), F.lit(second).cast("bigint").alias("second_load"))
 
 
-@query(
-    "etl_seventeen_tables",
-    f"""select 'ets_orders' as target, src_fields_md5, updatets from ({ORDERS_SQL})
-        union all
-        select 'ets_events', md5('Events.' || event_id || '|Events.' || user_id || '|Events.' || event_type || '|Events.' || props || '|Events.'
-               || strftime(ts, '%Y-%m-%d %H:%M:%S.%f')), strftime(ts, '%Y-%m-%d %H:%M:%S.%f') from events
-        union all
-        select 'ets_customer', md5('Customer.' || c_custkey || '|Customer.' || c_name || '|Customer.' || c_nationkey || '|Customer.' || c_mktsegment),
-               '2024-05-06 07:08:09' from customer""",
-)
+# What the test tables give to the warehouse tables: for each, the columns of its source after the key, in the order of the specification.
+# Two tables change over time (one of them with fractions of a second), nulls are among the values.
+FROM_ORDERS = ["o_custkey", "nullif(o_orderstatus, 'F')", "nullif(o_orderpriority, '5-LOW')", "o_orderdate"]
+FROM_EVENTS = ["user_id", "nullif(event_type, 'view')", "props", "ts"]
+ORDER_FED = [
+    "ets_apply_student", "ets_gradeitem", "ets_osce_das_admin_report", "ets_osce_das_student_report", "ets_osce_exam_examinee", "ets_osce_station",
+    "ets_questionvoterecord", "ets_schedule_std", "ets_score",
+]
+
+# The fingerprint of every table written out, ``{}`` for the text of a column.
+FINGERPRINTS = {
+    "ets_apply_student": "Apply_Student.{}|Apply_Student.{}|Apply_Student.{}|Apply_Student.{}Apply_Student.{}|Apply_Student.{}|Apply_Student.{}|Apply_Student.{}|Apply_Student.{}",
+    "ets_gradeitem": "GradeItem.{}|GradeItem.{}|GradeItem.{}|GradeItem.{}",
+    "ets_learn": "Learn.{}|Learn.{}|Learn.{}|Learn.{}|Learn.{}|Learn.{}",
+    "ets_osce_das_admin_report": "osce_das_admin_report.{}|osce_das_admin_report.{}|osce_das_admin_report.{}|osce_das_admin_report.{}",
+    "ets_osce_das_examiner_report": "osce_das_examiner_report.{}|osce_das_examiner_report.{}|osce_das_examiner_report.{}|osce_das_examiner_report.{}",
+    "ets_osce_das_student_report": "osce_das_student_report.{}|osce_das_student_report.{}|osce_das_student_report.{}|osce_das_student_report.{}",
+    "ets_osce_exam": "osce_exam.{}|osce_exam.{}|osce_exam.{}|osce_exam.{}|osce_exam.{}|osce_exam.{}",
+    "ets_osce_exam_examinee": "GradeItem.{}|GradeItem.{}|GradeItem.{}",
+    "ets_osce_score": "osce_score.{}|osce_score.{}|osce_score.{}|osce_score.{}|osce_score.{}|osce_score.{}|osce_score.{}|osce_score.{}|osce_score.{}|osce_score.{}|osce_score.{} |osce_score.{}",
+    "ets_osce_station": "osce_station.{}|osce_station.{}|osce_station.{}|osce_station.{}",
+    "ets_questionsend": "QuestionSend.{}|QuestionSend.{}|QuestionSend.{}|QuestionSend.{}|QuestionSend.{}|QuestionSend.{}",
+    "ets_questionvoterecord": "QuestionVoteRecord.{}|QuestionVoteRecord.{}|QuestionVoteRecord.{}|QuestionVoteRecord.{}",
+    "ets_schedule": "Schedule.{}|Schedule.{}|Schedule.{}|Schedule.{}|Schedule.{}|Schedule.{}|Schedule.{}|Schedule.{}|Schedule.{}",
+    "ets_schedule_std": "Schedule_Std.{}|Schedule_Std.{}|Schedule_Std.{}|Schedule_Std.{}",
+    "ets_schedule_teacher": "Schedule_Teacher.{}|Schedule_Teacher.{}|Schedule_Teacher.{}|Schedule_Teacher.{}",
+    "ets_score": "score.{}|Score.{}|Score.{}|Score.{}|Score.{}|Score.{}|Score.{}|Score.{}",
+    "ets_tasks": "Tasks.{}|Tasks.{}|Tasks.{}",
+}
+
+
+def source_columns(target: str, columns: int) -> tuple[str, list[str], str]:
+    """(test table, expressions of the key and the other columns, expression of the change time)."""
+    if target in ORDER_FED:
+        name, key, pool, changed = "orders", "o_orderkey", FROM_ORDERS, "o_orderdate"
+    else:
+        name, key, pool, changed = "events", "event_id", FROM_EVENTS, "ts"
+    return name, [key, *(pool[i % len(pool)] for i in range(columns - 1))], changed
+
+
+def _text_sql(expression: str) -> str:
+    if expression in ("o_orderdate", "ts"):
+        whole = f"strftime({expression}, '%Y-%m-%d %H:%M:%S')"
+        return f"({whole} || case when microsecond({expression}) % 1000000 = 0 then '' else strftime({expression}, '.%f') end)"
+    return f"coalesce(({expression})::varchar, 'None')"
+
+
+def _target_sql(target: str, columns: int, changes: bool) -> str:
+    name, expressions, changed = source_columns(target, columns)
+    texts = [_text_sql(e) for e in expressions + ([changed] if changes else [])]
+    pieces = FINGERPRINTS[target].split("{}")
+    assert len(pieces) == len(texts) + 1
+    digest = " || ".join(f"'{piece}' || {text}" for piece, text in zip(pieces, texts))
+    updated = _text_sql(changed) if changes else f"'{LOADED_AT}'"
+    return f"select '{target}' as target, {expressions[0]}::varchar as key, md5({digest}) as src_fields_md5, {updated} as updatets from {name}"
+
+
+@query("etl_seventeen_tables", " union all ".join(_target_sql(t, len(s.columns), s.changed is not None) for t, s in WAREHOUSE.items()))
 def etl_seventeen_tables(spark, sf_dir):
-    # one function loads any table from its spec; incremental twice, full refresh once
-    orders = table(spark, sf_dir, "orders")
+    # one function loads every table of the warehouse from its specification: two batches by change time, or a full refresh
     loaded = []
-    for spec, batches in (
-        (ORDERS, [until_cut(orders), orders]),
-        (EVENTS, [table(spark, sf_dir, "events")]),
-        (CUSTOMERS, [table(spark, sf_dir, "customer")]),
-    ):
-        name = target_table(spark, spec)
+    for target, spec in WAREHOUSE.items():
+        name, expressions, changed = source_columns(target, len(spec.columns))
+        picked = [F.expr(e).alias(c) for e, c in zip(expressions, spec.columns)]
+        source = table(spark, sf_dir, name).select(*picked, *([F.col(changed).alias(spec.changed)] if spec.changed else []))
+        batches = [source]
+        if spec.changed:
+            low, high = source.agg(F.unix_micros(F.min(spec.changed).cast("timestamp")), F.unix_micros(F.max(spec.changed).cast("timestamp"))).first()
+            middle = F.timestamp_micros(F.lit(((low or 0) + (high or 0)) // 2)).cast("timestamp_ntz")
+            batches.insert(0, source.filter(F.col(spec.changed) < middle))
+        held = target_table(spark, spec)
         for batch in batches:
-            ingest(batch, name, spec, LOADED_AT)
-        loaded.append(spark.table(name).select(F.lit(spec.target).alias("target"), "src_fields_md5", "updatets"))
-    return loaded[0].unionByName(loaded[1]).unionByName(loaded[2])
+            ingest(batch, held, spec, LOADED_AT)
+        loaded.append(spark.table(held).select(F.lit(target).alias("target"), F.col(spec.key).alias("key"), "src_fields_md5", "updatets"))
+    return reduce(DataFrame.unionByName, loaded)

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from millrace.functions.jsondoc import to_json_text
+from millrace.operators.sampling import uniform
 from millrace.registry import query
 from millrace.session import scratch_path, table
 from millrace.sources.catalog import active_table, catalog_map
 from millrace.sources.connectors import read_connector
 from millrace.sources.files import labelled_lines, rating_lines, read_ctrl_a, read_delimited, vector_lines
 
-EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-
 
 def written(df, fmt, label, **options):
     """Write ``df`` below the shared scratch folder and return the path."""
@@ -26,10 +27,12 @@ def as_lines(df, line, label):
     return written(df.select(line.alias("value")), "text", label)
 
 
-@query("src_json", "select event_id, user_id, event_type, value, props from events")
+@query("src_json", "select event_id, user_id, event_type, value, props, ts from events")
 def src_json(spark, sf_dir):
-    path = written(table(spark, sf_dir, "events"), "json", "events-json")
-    return spark.read.schema(EVENT_SCHEMA).json(path).select("event_id", "user_id", "event_type", "value", "props")
+    path = written(table(spark, sf_dir, "events"), "json", "events-json", timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    # the types come from the files; times are text there
+    read = spark.read.json(path)
+    return read.withColumn("ts", F.col("ts").cast("timestamp_ntz")).select("event_id", "user_id", "event_type", "value", "props", "ts")
 
 
 @query(
@@ -256,18 +259,31 @@ def src_range(spark, sf_dir):
     return unused.select("n", (F.col("n") * F.col("n")).alias("square"), (F.col("n") * F.col("n") * F.col("n")).alias("cube"))
 
 
-@query("src_random")
+def normal(seed: int):
+    """A standard normal value from the order's key (Box and Muller), the same on every run and any number of executors."""
+    u, v = uniform(["o_orderkey"], seed), uniform(["o_orderkey"], seed + 100)
+    return F.sqrt(-2 * F.log(1 - u)) * F.cos(2 * math.pi * v)
+
+
+def _normal_sql(seed: int) -> str:
+    u, v = (f"(('0x' || substr(md5(o_orderkey || '|{s}'), 1, 15))::bigint / {float(1 << 60)!r}::double)" for s in (seed, seed + 100))
+    return f"sqrt(-2::double * ln(1::double - {u})) * cos({2 * math.pi!r}::double * {v})"
+
+
+@query(
+    "src_random",
+    f"""with d as (select {_normal_sql(1)} as x, {_normal_sql(2)} as a, {_normal_sql(3)} as b from orders)
+        select count(*) as n, round(avg(x), 8) as mean, round(stddev(x), 8) as sd, round(avg(a), 8) as mean_1, round(corr(a, b), 8) as corr from d""",
+)
 def src_random(spark, sf_dir):
     # a standard normal value and a normal vector of length 2 per order; the moments are the result
-    drawn = table(spark, sf_dir, "orders").select(
-        F.randn(1).alias("x"), F.array(F.randn(2), F.randn(3)).alias("v")
-    )
+    drawn = table(spark, sf_dir, "orders").select(normal(1).alias("x"), F.array(normal(2), normal(3)).alias("v"))
     return drawn.agg(
         F.count(F.lit(1)).alias("n"),
-        F.avg("x").alias("mean"),
-        F.stddev("x").alias("sd"),
-        F.avg(F.element_at("v", 1)).alias("mean_1"),
-        F.corr(F.element_at("v", 1), F.element_at("v", 2)).alias("corr"),
+        F.round(F.avg("x"), 8).alias("mean"),
+        F.round(F.stddev("x"), 8).alias("sd"),
+        F.round(F.avg(F.element_at("v", 1)), 8).alias("mean_1"),
+        F.round(F.corr(F.element_at("v", 1), F.element_at("v", 2)), 8).alias("corr"),
     )
 
 
