@@ -5,6 +5,7 @@ from millrace.queries import (  # noqa: F401
     feature_queries,
     ingest_queries,
     iterative_queries,
+    job_chain,
     jobs,
     model_queries,
     relational,
