@@ -157,7 +157,18 @@ def ml_aft_survival(spark, sf_dir):
     )
 
 
-@query("ml_isotonic")
+@query(
+    "ml_isotonic",
+    """with l as (select l_quantity as x, l_extendedprice as y,
+                 ('0x' || substr(md5(l_orderkey::varchar), 1, 8))::bigint / 4294967296.0::double < 0.7::double as train from lineitem),
+        p as (select x, avg(y) as m, count(*) as w from l where train group by x),
+        means as (select a.x as lo, b.x as hi, sum(c.m * c.w) / sum(c.w) as mean
+                  from p a join p b on a.x <= b.x join p c on c.x between a.x and b.x group by 1, 2),
+        least_from as (select lo, i.x, min(mean) as low from means join p i on i.x between lo and hi group by 1, 2),
+        fitted as (select x, max(low) as prediction from least_from group by x)
+        select x as features, round(prediction, 4) as prediction, round(avg((y - prediction) * (y - prediction)), 0) as mse
+        from fitted join l using (x) where not train group by x, prediction""",
+)
 def ml_isotonic(spark, sf_dir):
     points = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", F.col("l_extendedprice").alias("label"), F.col("l_quantity").alias("features")
@@ -168,7 +179,7 @@ def ml_isotonic(spark, sf_dir):
     model = IsotonicRegression(weightCol="weight").fit(pooled)
     curve = model.transform(test)
     return curve.groupBy("features").agg(
-        F.max("prediction").alias("prediction"), F.avg(F.pow(F.col("label") - F.col("prediction"), 2)).alias("mse")
+        F.round(F.max("prediction"), 4).alias("prediction"), F.round(F.avg(F.pow(F.col("label") - F.col("prediction"), 2)), 0).alias("mse")
     )
 
 
