@@ -9,6 +9,7 @@ from millrace.functions.jsondoc import to_json_text
 from millrace.operators.intervals import contained_in
 from millrace.operators.skew import number_rows, salted_join
 from millrace.operators.subsets import EXAM_BIT, join_subsets, people_and_exams
+from millrace.session import cut_lineage
 
 SCORE = "decimal(18,3)"
 AFTER_CLASS_BIT = 8
@@ -37,7 +38,8 @@ def curve_inputs(
         once=True,
     ).select("person", F.lit(AFTER_CLASS_BIT).alias("bit"), "score")
     exam_rows = exam_scores.filter(F.col("person").isNotNull())
-    exams = exam_rows.groupBy("exam", "person").agg(F.sum(F.col("score").cast(SCORE)).alias("score"))
+    # written once: people and exam rows each read it
+    exams = cut_lineage(exam_rows.groupBy("exam", "person").agg(F.sum(F.col("score").cast(SCORE)).alias("score")), "exams")
     return trained.unionByName(after_class), exams
 
 

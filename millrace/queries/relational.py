@@ -10,7 +10,14 @@ from millrace.operators.skew import number_rows, zip_rows
 from millrace.operators.subsets import join_subsets, tag_sources
 from millrace.queries import roles
 from millrace.registry import query
-from millrace.session import table
+from millrace.session import scratch_name, table
+
+
+def view(spark, sf_dir, name):
+    """A view of a table under a name of its own, so that two runs in one session do not meet."""
+    own = scratch_name(f"v_{name}")
+    table(spark, sf_dir, name).createOrReplaceTempView(own)
+    return own
 
 # ---------------------------------------------------------------- projection
 
@@ -38,8 +45,7 @@ def sel_arith(spark, sf_dir):
 
 @query("sel_star", "select * from supplier")
 def sel_star(spark, sf_dir):
-    table(spark, sf_dir, "supplier").createOrReplaceTempView("v_supplier")
-    return spark.sql("SELECT A.* FROM (SELECT * FROM v_supplier) A")
+    return spark.sql(f"SELECT A.* FROM (SELECT * FROM {view(spark, sf_dir, 'supplier')}) A")
 
 
 @query("sel_rename", "select p_partkey as part_id, p_name, p_brand, p_type, p_size, p_retailprice from part")
@@ -82,14 +88,12 @@ def flt_equal_text(spark, sf_dir):
 
 @query("flt_range_and", "select p_partkey, p_size from part where p_size >= 13 and p_size <= 19")
 def flt_range_and(spark, sf_dir):
-    table(spark, sf_dir, "part").createOrReplaceTempView("v_part_range")
-    return spark.sql("SELECT p_partkey, p_size FROM v_part_range WHERE p_size >= 13 AND p_size <= 19")
+    return spark.sql(f"SELECT p_partkey, p_size FROM {view(spark, sf_dir, 'part')} WHERE p_size >= 13 AND p_size <= 19")
 
 
 @query("flt_between", "select p_partkey, p_name, p_size from part where p_size between 13 and 19")
 def flt_between(spark, sf_dir):
-    table(spark, sf_dir, "part").createOrReplaceTempView("v_part_between")
-    return spark.sql("SELECT p_partkey, p_name, p_size FROM v_part_between WHERE p_size BETWEEN 13 AND 19")
+    return spark.sql(f"SELECT p_partkey, p_name, p_size FROM {view(spark, sf_dir, 'part')} WHERE p_size BETWEEN 13 AND 19")
 
 
 @query(
@@ -138,12 +142,11 @@ def join_inner_on(spark, sf_dir):
        from lineitem, orders where l_orderkey = o_orderkey group by l_returnflag, o_orderstatus""",
 )
 def join_inner_where(spark, sf_dir):
-    table(spark, sf_dir, "lineitem").createOrReplaceTempView("v_line_where")
-    table(spark, sf_dir, "orders").createOrReplaceTempView("v_order_where")
+    lines, orders = view(spark, sf_dir, "lineitem"), view(spark, sf_dir, "orders")
     return spark.sql(
-        """SELECT l_returnflag, o_orderstatus, count(*) AS n,
+        f"""SELECT l_returnflag, o_orderstatus, count(*) AS n,
                   cast(sum(cast(l_extendedprice AS decimal(18,2))) AS double) AS total
-           FROM v_line_where l, v_order_where o WHERE l.l_orderkey = o.o_orderkey
+           FROM {lines} l, {orders} o WHERE l.l_orderkey = o.o_orderkey
            GROUP BY l_returnflag, o_orderstatus"""
     )
 

@@ -160,11 +160,10 @@ def snk_cell_put(spark, sf_dir):
     "select n_regionkey, count(*) as n from nation join supplier on n_nationkey = s_nationkey group by 1",
 )
 def ddl_temp_view(spark, sf_dir):
-    table(spark, sf_dir, "nation").createOrReplaceTempView("v_nation")
-    table(spark, sf_dir, "supplier").createOrReplaceTempView("v_supplier_ddl")
-    return spark.sql(
-        "SELECT n_regionkey, count(*) AS n FROM v_nation JOIN v_supplier_ddl ON n_nationkey = s_nationkey GROUP BY n_regionkey"
-    )
+    nations, suppliers = scratch_name("v_nation"), scratch_name("v_supplier")
+    table(spark, sf_dir, "nation").createOrReplaceTempView(nations)
+    table(spark, sf_dir, "supplier").createOrReplaceTempView(suppliers)
+    return spark.sql(f"SELECT n_regionkey, count(*) AS n FROM {nations} JOIN {suppliers} ON n_nationkey = s_nationkey GROUP BY n_regionkey")
 
 
 @query("ddl_global_view", "select c_mktsegment, count(*) as n from customer group by 1")

@@ -11,13 +11,14 @@ from millrace.registry import query
 from millrace.session import table
 
 
-@query("udf_row_map", "select doc_id, length(text)::bigint as n from documents")
+@query("udf_row_map", "select doc_id, md5(strip_accents(text)) as digest from documents")
 def udf_row_map(spark, sf_dir):
-    @F.pandas_udf("bigint")
-    def text_length(text: pd.Series) -> pd.Series:
-        return text.str.len()
+    # no built-in function takes letters apart from their accents
+    @F.pandas_udf("string")
+    def without_accents(text: pd.Series) -> pd.Series:
+        return text.str.normalize("NFD").str.replace(r"[\u0300-\u036f]", "", regex=True)
 
-    return table(spark, sf_dir, "documents").select("doc_id", text_length("text").alias("n"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(without_accents("text")).alias("digest"))
 
 
 @query(

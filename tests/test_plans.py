@@ -66,8 +66,8 @@ def test_bucketed_join_has_no_exchange_below_it(spark, sf_dir):
 
 
 def test_partition_folder_is_pruned(spark, sf_dir):
-    for name, column in (("src_partition_discovery", "key"), ("snk_partitioned", "o_orderstatus")):
-        text = plan(QUERIES[name](spark, sf_dir))
+    for name, column, value in (("src_partition_discovery", "key", "2"), ("snk_partitioned", "o_orderstatus", "'P'")):
+        text = plan(QUERIES[name](spark, sf_dir).filter(f"{column} = {value}"))
         assert f"PartitionFilters: [isnotnull({column}" in text
 
 
@@ -96,3 +96,9 @@ def test_no_query_depends_on_the_broadcast_threshold(spark, sf_dir):
             assert df.agg(F.count(F.lit(1))).first()[0] > 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_terms_are_tokenized_once(spark, sf_dir):
+    """The weights read the written counts; neither texts nor tokens are touched again."""
+    text = plan(QUERIES["ml_tf_idf"](spark, sf_dir))
+    assert "documents.parquet" not in text and "UDF" not in text and text.count("terms-") >= 1
