@@ -161,12 +161,12 @@ class LanguageModel:
         n = np.array([counts[x] for x in languages], float)
         return cls(languages, np.log(n / n.sum()), np.log(matrix / matrix.sum(axis=0)))
 
-    def predict(self, docs: DataFrame, text_col: str = "text") -> DataFrame:
-        """``docs`` with ``lang_pred`` and ``score`` (0 to 1) in place of columns of these names.
+    def predict(self, docs: DataFrame, text_col: str = "text", pred_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
+        """``docs`` with ``pred_col`` and ``score_col`` (0 to 1) in place of columns of these names.
 
         A null text, a text without a letter and every text of a model without languages is ``und`` with score 0. Rows are kept one for one.
         """
-        docs = docs.drop("lang_pred", "score")
+        docs = docs.drop(pred_col, score_col)
         names, model = docs.columns, docs.sparkSession.sparkContext.broadcast((self.languages, self.priors, self.matrix))
 
         def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,7 +180,7 @@ class LanguageModel:
                     sure = pc.if_else(lettered, pa.array(sure), 0.0)
                 else:
                     called, sure = pa.array([UNDETERMINED] * batch.num_rows, pa.string()), pa.array(np.zeros(batch.num_rows))
-                yield pa.RecordBatch.from_arrays([*batch.columns, called, sure], names=[*names, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, called, sure], names=[*names, pred_col, score_col])
 
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-        return docs.mapInArrow(task, f"{fields}, lang_pred string, score double")
+        return docs.mapInArrow(task, f"{fields}, `{pred_col}` string, `{score_col}` double")

@@ -6,6 +6,7 @@ import brute
 import corpus_pipeline as pipeline
 import pytest
 from millrace.session import cut_lineage
+from pyspark.sql import functions as F
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 STAGES = dict(pipeline.STAGES)
@@ -94,6 +95,21 @@ def test_odd_rows(spark, name):
     assert STAGES[name](spark, docs.limit(0), sf_dir).collect() == []
 
 
+CLASHES = ["copy", "copies", "score", "lang_pred", "name", "row_hash", "text_hash", "size", "id", "n", "spans", "print", "item_id"]
+
+
+@pytest.mark.parametrize("name", STAGES)
+def test_columns_of_any_name_come_through(spark, name):
+    docs = spark.createDataFrame(ODD, COLUMNS)
+    for i, c in enumerate(CLASHES):
+        docs = docs.withColumn(c, F.lit(f"own {i}"))
+    docs = cut_lineage(docs)
+    got = STAGES[name](spark, docs, "/root/testdata/sf0.001")
+    own = [c for c in CLASHES if c != "copy" or name != pipeline.STAGES[-1][0]]
+    assert sorted(got.columns) == sorted(docs.columns)
+    assert got.count() > 0 and got.select(*own).distinct().collect() == [tuple(f"own {CLASHES.index(c)}" for c in own)]
+
+
 def test_run_is_the_stages_in_order(spark, stages):
     got = pipeline.run(spark, "/root/testdata/sf0.001").collect()
     assert sorted(got) == sorted(stages["mixing sources to target weights"][1])
