@@ -5,10 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def build_session(app: str = "millrace", cpus: str | int = "*", memory: str = "8g") -> SparkSession:
@@ -51,7 +54,23 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the scratch folder; never handed out twice."""
-    return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what was put below the scratch folder meanwhile; results that stay are written to a path taken before."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        sc = spark.sparkContext
+        for path in _scopes.pop():
+            folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def scratch_name(label: str) -> str:

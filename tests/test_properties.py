@@ -400,3 +400,17 @@ def test_upsert(spark):
 
 def test_split_constant_is_used():
     assert skew.ROWS_PER_SPLIT == 2_000_000
+
+
+def test_scratch_scope_removes_its_folders(spark):
+    import os
+
+    from millrace.session import cut_lineage, scratch_scope
+
+    kept = scratch_path(spark, "kept")
+    with scratch_scope(spark):
+        inner = cut_lineage(spark.range(5))
+        files = inner.inputFiles()
+        inner.write.parquet(kept)
+    assert spark.read.parquet(kept).count() == 5
+    assert files and not any(os.path.exists(f.removeprefix("file://")) for f in files)
