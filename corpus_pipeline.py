@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import langid, mixing, secrets, simhash, templates
-from millrace.session import cut_lineage, table
+from millrace.session import cut_lineage, scratch_path, scratch_scope, table
 
 #: A document whose most probable language is less certain than this is rejected, as is one without a language.
 SURE = 0.5
@@ -81,5 +81,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = cut_lineage(stage(spark, docs, sf_dir), "stage-" + name.split()[0].lower())
+        path = scratch_path(spark, "stage-" + name.split()[0].lower())
+        # what a stage keeps for itself goes when its rows are written
+        with scratch_scope(spark):
+            rows = stage(spark, docs, sf_dir)
+            rows.write.parquet(path)
+        docs = spark.read.schema(rows.schema).parquet(path)
     return docs
