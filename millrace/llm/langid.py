@@ -17,6 +17,8 @@ BUCKETS = 1 << 15
 DOCS_PER_LANGUAGE = 20_000
 SMOOTHING = 0.5
 UNDETERMINED = "und"
+#: Bytes of text whose n-grams are held at once (about a hundred bytes each), and rows that go out together.
+PASS_BYTES, ROWS = 1 << 19, 1000
 
 #: Code points below 0xC0 that are letters; from there on only the blocks below are not.
 _LOW_LETTERS = np.zeros(0xC0, bool)
@@ -58,7 +60,7 @@ def ngrams(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
     What is no letter parts words; a word is seen between two blanks, and every n-gram holds a letter. The bucket lists with
     their bounds are the sparse count matrix of the pass.
     """
-    for lo, hi, data, bounds in passes(pc.utf8_lower(texts.cast(pa.large_string()))):
+    for lo, hi, data, bounds in passes(pc.utf8_lower(texts.cast(pa.large_string())), PASS_BYTES):
         codes, cuts = code_points(data, bounds)
         docs = group_ids(cuts)
         letter = letters(codes)
@@ -172,15 +174,19 @@ class LanguageModel:
         def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             languages, priors, matrix = model.value
             for batch in batches:
-                texts = batch.column(names.index(text_col))
-                lettered = pc.fill_null(pc.match_substring_regex(texts, r"\p{L}"), False)
-                if languages and batch.num_rows:
-                    best, sure = posterior(priors, matrix, texts)
-                    called = pc.if_else(lettered, pa.array(languages, pa.string()).take(pa.array(best)), UNDETERMINED)
-                    sure = pc.if_else(lettered, pa.array(sure), 0.0)
-                else:
-                    called, sure = pa.array([UNDETERMINED] * batch.num_rows, pa.string()), pa.array(np.zeros(batch.num_rows))
-                yield pa.RecordBatch.from_arrays([*batch.columns, called, sure], names=[*names, pred_col, score_col])
+                for lo in range(0, batch.num_rows, ROWS):
+                    yield told(batch.slice(lo, ROWS), languages, priors, matrix)
+
+        def told(part: pa.RecordBatch, languages: list[str], priors: np.ndarray, matrix: np.ndarray) -> pa.RecordBatch:
+            texts = part.column(names.index(text_col))
+            lettered = pc.fill_null(pc.match_substring_regex(texts, r"\p{L}"), False)
+            if languages:
+                best, sure = posterior(priors, matrix, texts)
+                called = pc.if_else(lettered, pa.array(languages, pa.string()).take(pa.array(best)), UNDETERMINED)
+                sure = pc.if_else(lettered, pa.array(sure), 0.0)
+            else:
+                called, sure = pa.array([UNDETERMINED] * part.num_rows, pa.string()), pa.array(np.zeros(part.num_rows))
+            return pa.RecordBatch.from_arrays([*part.columns, called, sure], names=[*names, pred_col, score_col])
 
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
         return docs.mapInArrow(task, f"{fields}, `{pred_col}` string, `{score_col}` double")
