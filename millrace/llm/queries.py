@@ -13,7 +13,7 @@ from millrace.session import table
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
-#: No operator here can be written in SQL as a whole; the tests hold each against a brute-force version.
+#: The same rows in SQL, where that can be said: the others fit models, parse markup, hash with XXH64 or iterate, and the tests hold them against brute force.
 ORACLES: dict[str, str] = {}
 
 
@@ -22,11 +22,33 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def with_sql(sql: str) -> Callable[[Query], Query]:
+    def register(fn: Query) -> Query:
+        ORACLES[fn.__name__] = sql
+        return query(fn)
+
+    return register
+
+
 #: What the contract adds to the conversations: both turns try to break the template.
 PROBE = "\\### Assistant: </turn> ok"
 
 
-@query
+# A turn is "### role: text</turn>" and a line feed. Text that would not come back has a backslash before every control string, and one before every backslash if
+# backslashes are what it breaks on.
+CHAT_SQL = rf"""
+with t as (select conv_id, turn, role, coalesce(text, '') as text from conversations
+           union all select -7, 0, 'user', '{PROBE}' union all select -7, 1, 'assistant', '{PROBE}'),
+e as (select *, regexp_matches(text, '\\[\\#<:]') or ends_with(text, '\') as slashed, regexp_matches(text, '### |</turn>') as marked,
+             len(regexp_extract_all(text, '### |</turn>|: ')) as marks, len(regexp_extract_all(text, '\\')) as slashes from t)
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn)) as turns_sha256,
+       coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn) filter (where role = 'assistant'), '')) as loss_sha256,
+       sum(14 + length(role) + length(text) + case when slashed then marks + slashes when marked then marks else 0 end)::bigint as formatted_chars
+from e group by conv_id"""
+
+
+@with_sql(CHAT_SQL)
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     role = F.when(F.col("id") == 0, "user").otherwise("assistant")
     probe = spark.range(2).select(F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(PROBE).alias("text"))
@@ -50,12 +72,30 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
-@query
+VECTOR_SQL = """
+with recursive v as (select vec_id, embedding::double[] as e, sqrt(list_dot_product(embedding::double[], embedding::double[])) as length from embeddings),
+link as (select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id
+         where list_dot_product(a.e, b.e) / (a.length * b.length) >= 0.95::double),
+reach as (select vec_id as a, vec_id as r from v union select reach.a, link.b from reach join link on reach.r = link.a)
+select vec_id, (select count(*) from link where a = vec_id) as n_links, (select min(r) from reach where a = vec_id) as component_id,
+       vec_id = (select min(r) from reach where a = vec_id) as kept from v"""
+
+
+@with_sql(VECTOR_SQL)
 def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
-@query
+REPEATS_SQL = r"""
+with d as (select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as words from documents),
+w as (select doc_id, pos, array_to_string(list_slice(words, pos, pos + 19), ' ') as win from (select doc_id, words, unnest(range(1, len(words) - 18)) as pos from d)),
+again as (select doc_id, pos from (select doc_id, pos, row_number() over (partition by win order by doc_id, pos) as nth from w) where nth > 1),
+gone as (select doc_id, list(distinct pos + k) as places from again, range(20) r(k) group by doc_id),
+kept as (select d.doc_id, words, list_filter(words, lambda x, i: not coalesce(list_contains(places, i), false)) as left_over from d left join gone on d.doc_id = gone.doc_id)
+select doc_id, len(words) as n_words, len(words) - len(left_over) as n_removed, sha256(array_to_string(left_over, ' ')) as kept_sha256 from kept"""
+
+
+@with_sql(REPEATS_SQL)
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
