@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 import millrace.queries  # noqa: F401
 from millrace.queries.feature_queries import ENGLISH_STOP_WORDS
+from millrace.queries.model_queries import dense_ids
 from millrace.registry import QUERIES
+from millrace.session import table
 
 
 def run(spark, sf_dir, name):
@@ -23,9 +25,21 @@ def accuracy(df, label="label", prediction="prediction"):
     return df.agg(F.avg((F.col(label) == F.col(prediction)).cast("double"))).first()[0]
 
 
-@pytest.mark.parametrize("name", ["ml_text_classification", "ml_naive_bayes"])
-def test_text_models_beat_a_coin(spark, name):
-    assert accuracy(run(spark, "/root/testdata/sf0.01", name)) > 0.5
+def test_text_models_beat_a_coin(spark):
+    assert accuracy(run(spark, "/root/testdata/sf0.01", "ml_naive_bayes")) > 0.5
+
+
+def test_every_document_is_classified(spark):
+    """Fitted on the labelled documents, scored on all."""
+    sf_dir = "/root/testdata/sf0.01"
+    got = run(spark, sf_dir, "ml_text_classification")
+    assert got.count() == table(spark, sf_dir, "documents").count()
+    assert accuracy(got.join(table(spark, sf_dir, "labels"), "doc_id"), label="quality") > 0.5
+
+
+def test_als_takes_ids_beyond_32_bits(spark):
+    wide = spark.range(3).select((F.col("id") + (1 << 40)).alias("key"), F.lit(1.0).alias("rating"))
+    assert sorted(r["user"] for r in dense_ids(wide, "key", "user").collect()) == [1, 2, 3]
 
 
 @pytest.mark.parametrize("name", ["ml_decision_tree", "ml_random_forest", "ml_gbt"])
