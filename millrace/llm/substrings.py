@@ -31,7 +31,7 @@ from millrace.session import cut_lineage
 WINDOW = 20
 MINIMISER = 5
 #: Different super-k-mers of one minimiser that one task compares.
-CROWD = 2_000
+CROWD = 20_000
 
 _FIRST, _SECOND = byte_codes(1), byte_codes(2)
 
