@@ -2,7 +2,7 @@
 
 The forest sees the length of a candidate, how its characters change from class to class, how much of it dictionary words cover, the path it was found
 under and the words beside it. It is trained from labelled findings; where nobody has labelled any, :func:`rule_labels` labels those of the
-clear forms (known token formats, quoted assignments to credential names; plain numbers and candidates without any credential context).
+clear forms (known token formats, assignments to credential names that are quoted or look like tokens; plain numbers and candidates without any credential context).
 """
 
 from __future__ import annotations
@@ -33,10 +33,11 @@ FORMATS = {
     "jwt": r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{5,}",
     "pem": r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----",
 }
-_BODY = "A-Za-z0-9+/_=.-"
-#: Anything else of 16 or more token characters with a digit among them.
-GENERIC = rf"(?<![{_BODY}])(?=[A-Za-z+/_=.-]*+[0-9])[{_BODY}]{{16,}}"
-CANDIDATE = "|".join([*FORMATS.values(), GENERIC])
+_FORMAT = "|".join(FORMATS.values())
+_BODY = "A-Za-z0-9+/_.-"
+#: Anything else of 16 or more token characters with a digit among them, up to a known format; never a name with the = behind it, so that the name stands before the value.
+GENERIC = rf"(?<![{_BODY}])(?=[A-Za-z+/_.-]*+[0-9])(?:(?!{_FORMAT})[{_BODY}]){{16,}}+(?!=+[{_BODY}])=*+"
+CANDIDATE = f"{_FORMAT}|{GENERIC}"
 
 #: Words whose share of a candidate is its dictionary coverage. Fixed values.
 DICTIONARY = [
@@ -100,7 +101,7 @@ def described(found: DataFrame) -> DataFrame:
     count = lambda pattern: F.regexp_count(v, F.lit(pattern)) / n
     flag = lambda c: c.cast("double")
     before, after, path = F.lower("before"), F.lower("after"), F.lower("path")
-    kind = F.coalesce(*[F.when(v.rlike(f"^(?:{p})"), F.lit(name)) for name, p in FORMATS.items()], F.lit("generic"))
+    kind = F.coalesce(*[F.when(v.rlike(p), F.lit(name)) for name, p in FORMATS.items()], F.lit("generic"))
     return found.withColumn("kind", kind).withColumns({
         "length": n.cast("double"),
         "letter_digit": count("(?<=[A-Za-z])(?=[0-9])"),
@@ -128,8 +129,11 @@ def described(found: DataFrame) -> DataFrame:
 
 def rule_labels(findings: DataFrame) -> DataFrame:
     """``findings`` with ``label``: 1 for clear secrets, 0 for clear false positives, null for the rest, which the forest decides."""
-    real = (F.col("known_format") == 1) | ((F.col("credential_before") == 1) & (F.col("assigned") == 1) & (F.col("quoted") == 1))
-    plain = (F.col("digits") == 1) | ((F.col("credential_before") == 0) & (F.col("assigned") == 0))
+    # without quotes, as in shells, .env files and URLs, the value has to look like a token itself: no path, number or identifier
+    token = F.col("value").rlike("^[A-Za-z0-9+/_-]+=*$") & (F.col("digits") > 0) & (F.col("digits") < 1) & (F.col("dictionary") < 0.2)
+    real = (F.col("known_format") == 1) | ((F.col("credential_before") == 1) & (F.col("assigned") == 1) & ((F.col("quoted") == 1) | token))
+    named_plain = (F.col("plain_before") == 1) & (F.col("assigned") == 1) & (F.col("quoted") == 0)
+    plain = (F.col("digits") == 1) | ((F.col("credential_before") == 0) & ((F.col("assigned") == 0) | named_plain))
     label = F.when(F.col("dummy_near") == 1, 0).when(real, 1).when(plain, 0)
     return findings.withColumn("label", label.cast("double"))
 
