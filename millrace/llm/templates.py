@@ -2,8 +2,9 @@
 
 Texts become templates: words in lower case without punctuation, with numbers, capitalised names and units behind numbers replaced by typed
 placeholders. Windows of WINDOW template words of the documents are hash-joined with those of the benchmark. For what meets, the templates are compared
-word by word and the values in the slots must correspond one to one, in the window and over the whole matched stretch; so a question
-with other numbers and names is found, and a window whose slots are filled at random is not.
+word by word and the values in the slots must correspond one to one, in the window and, for windows whose values are not the item's own, over the whole
+matched stretch; so a question with other numbers and names is found, a window whose slots are filled at random is not, and a copy with one value changed
+is found by its unchanged windows.
 """
 
 from __future__ import annotations
@@ -129,7 +130,8 @@ def contaminations(
 ) -> DataFrame:
     """One row for each document and benchmark item that share a consistent window: ``id_col``, ``text_hash``, ``item_id``, ``windows``, ``share``, ``exact``.
 
-    ``windows`` counts the shared windows, ``share`` is the part of the item's windows among them, ``exact`` tells whether all slots hold the item's own values.
+    ``windows`` counts the shared windows, ``share`` is the part of the item's windows among them, ``exact`` tells whether all slots hold the item's own values,
+    those of windows beside them that agree in themselves but not over the stretch included.
     Null texts and texts without a window that says enough share nothing. Rows with the same id are told apart by the hash of their text; a
     row that is given twice gives the same row once. Null ids are kept as null. Empty tables give no row; other columns are not read.
     """
@@ -154,12 +156,15 @@ def contaminations(
     # numbers and names correspond by type
     pairs = F.transform(slots, lambda p: F.struct(F.concat(p["t"], p["a"]).alias("a"), F.concat(p["t"], p["b"]).alias("b")))
     met = met.withColumn("pairs", pairs).filter(one_to_one(F.col("pairs")))
+    same = F.forall("pairs", lambda p: p["a"] == p["b"])
     # one stretch of a document against one item; its slots are at most the item's words
     stretch = met.groupBy("id", "text_hash", "item_id", (F.col("at") - F.col("item_at")).alias("offset")).agg(
-        F.collect_set("item_at").alias("places"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
-        F.first("item_size").alias("item_size"), F.first("width").alias("width"),
+        F.collect_set("item_at").alias("places"), F.collect_set(F.when(same, F.col("item_at"))).alias("same_places"),
+        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"), F.first("item_size").alias("item_size"), F.first("width").alias("width"),
     )
-    stretch = stretch.filter(one_to_one(F.col("pairs"))).withColumn("exact", F.forall("pairs", lambda p: p["a"] == p["b"]))
+    # windows in the item's own words stay whatever stands beside them; the others have to agree over the stretch
+    stretch = stretch.withColumn("places", F.when(one_to_one(F.col("pairs")), F.col("places")).otherwise(F.col("same_places"))).filter(F.size("places") > 0)
+    stretch = stretch.withColumn("exact", same)
     counted = stretch.groupBy("id", "text_hash", "item_id").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("bigint").alias("windows"),
         F.first("item_size").alias("item_size"), F.first("width").alias("width"), F.bool_and("exact").alias("exact"),

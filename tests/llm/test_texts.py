@@ -240,6 +240,23 @@ def test_reparameterised_questions(spark, set_rows):
     assert templates.contaminations(docs, items.limit(0), set_rows=set_rows).collect() == []
 
 
+PASSAGE = "The farmer has 5 red apples in a small box and he sells them at noon in town. The buyer then pays 5 coins for each of them and walks home"
+
+
+@pytest.mark.parametrize("set_rows", [100_000, 0])
+def test_copies_with_one_value_changed(spark, set_rows):
+    texts = {
+        1: PASSAGE, 2: PASSAGE.replace("The buyer", "This buyer"), 3: PASSAGE.replace("5 coins", "8 coins"),
+        # no window in the item's own words, and Bob stands for two names over the stretch
+        4: "so Bob has 9 apples and gives 2 of them to Bob in 4 hours ok",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    items = spark.createDataFrame([(1, PASSAGE), (2, ITEM)], "item_id long, text string")
+    got = {r["doc_id"]: (r["windows"], r["exact"]) for r in templates.contaminations(docs, items, set_rows=set_rows).collect()}
+    assert set(got) == {1, 2, 3} and got[1][1] and not got[2][1] and not got[3][1]
+    assert all(0 < got[i][0] < got[1][0] for i in (2, 3))
+
+
 def test_leaks_same_as_brute_force(spark):
     docs, items = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
     plain = lambda t: [w for w in ("".join(c for c in w if c.isalnum()) for w in (t or "").split()) if w]
