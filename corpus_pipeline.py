@@ -39,7 +39,7 @@ def given_once(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no template window with the benchmark."""
-    leaks = templates.contaminations(docs, table(spark, sf_dir, "benchmark"))
+    leaks = templates.contaminations(docs, table(spark, sf_dir, "benchmark"), any_case=True)
     leaks = cut_lineage(leaks.select(F.col("doc_id").alias("__leak_id"), F.col("text_hash").alias("__leak_hash")).distinct(), "leaks")
     on = F.col("doc_id").eqNullSafe(F.col("__leak_id")) & (F.xxhash64("text") == F.col("__leak_hash"))
     return docs.join(leaks, on, "left_anti")

@@ -109,7 +109,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return templates.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
+    return templates.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), any_case=True).drop("text_hash")
 
 
 @query

@@ -4,7 +4,8 @@ Texts become templates: words in lower case without punctuation, with numbers, c
 placeholders. Windows of WINDOW template words of the documents are hash-joined with those of the benchmark. For what meets, the templates are compared
 word by word and the values in the slots must correspond one to one, in the window and, for windows whose values are not the item's own, over the whole
 matched stretch; so a question with other numbers and names is found, a window whose slots are filled at random is not, and a copy with one value changed
-is found by its unchanged windows.
+is found by its unchanged windows. Names are told by their capitals; so that a copy in capitals, lower or title case is found, windows of lower-cased words
+are searched as well (``any_case``).
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ LITERALS, DIFFERENT = 5, 4
 SET_ROWS = 100_000
 
 NUMBER, NAME, UNIT = "<num>", "<name>", "<unit>"
+#: Templates of a text: names, numbers and units typed; numbers and units typed, in lower case.
+TYPED, LOWER = "typed", "lower"
 
 #: Units that are replaced behind a number. Fixed values.
 UNITS = [
@@ -37,9 +40,9 @@ def plain(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), r"[^\p{L}\p{N}\s]+", ""), r"\s+", " "))
 
 
-def template(words: Column) -> Column:
-    """The template of a plain text; it has as many words as the text."""
-    slots = F.regexp_replace(words, r"\p{Lu}(?<![^ ].)\p{Ll}[^ ]*", NAME)
+def template(words: Column, names: bool = True) -> Column:
+    """The template of a plain text; it has as many words as the text. Without ``names`` they stay as words in lower case."""
+    slots = F.regexp_replace(words, r"\p{Lu}(?<![^ ].)\p{Ll}[^ ]*", NAME) if names else words
     slots = F.regexp_replace(slots, r"(?<![^ ])[^ <\p{N}]*+\p{N}[^ ]*", NUMBER)
     return F.regexp_replace(F.lower(slots), f"({NUMBER} )(?:{'|'.join(UNITS)})(?![^ ])", f"$1{UNIT}")
 
@@ -63,49 +66,60 @@ def window_hashes(words: Column, width: int) -> Column:
     return F.transform(starts(words, width), lambda i: F.xxhash64(F.slice(words, i, width)))
 
 
-def benchmark_windows(items: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
-    """(hash, item_id, item_at, width, item_template, item_words, item_size) for the windows that say enough; an item shorter than a window is one."""
-    words = plain(F.col(text_col))
-    cut = items.filter(F.col(text_col).isNotNull()).select(
-        F.col(id_col).alias("item_id"), split_words(words).alias("words"), split_words(template(words)).alias("template")
-    )
-    cut = cut.withColumn("width", F.least(F.size("template"), F.lit(window))).filter("width > 0")
-    each = cut.select("item_id", "width", "words", "template", F.explode(starts(F.col("template"), F.col("width"))).alias("item_at"))
-    each = each.select(
-        "item_id", "item_at", "width", F.size("words").alias("item_size"),
-        F.slice("template", F.col("item_at"), F.col("width")).alias("item_template"), F.slice("words", F.col("item_at"), F.col("width")).alias("item_words"),
-    )
-    solid = F.filter("item_template", literal)
-    enough = (F.size(solid) >= LITERALS) & (F.size(F.array_distinct(solid)) >= DIFFERENT)
-    return each.filter(enough).withColumn("hash", F.xxhash64("item_template"))
+def forms(any_case: bool) -> list[str]:
+    return [TYPED, LOWER] if any_case else [TYPED]
+
+
+def templates_of(texts: DataFrame, wanted: list[str]) -> DataFrame:
+    """``texts`` with a column of template words for each wanted form, from the column ``plain``."""
+    made = {TYPED: template(F.col("plain")), LOWER: template(F.col("plain"), names=False)}
+    return texts.select("*", *[split_words(made[f]).alias(f) for f in wanted])
+
+
+def benchmark_windows(items: DataFrame, id_col: str, text_col: str, window: int, any_case: bool = False) -> DataFrame:
+    """(hash, form, item_id, item_at, width, item_template, item_words, item_size) for the windows that say enough; an item shorter than a window is one."""
+    texts = items.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("item_id"), plain(F.col(text_col)).alias("plain"))
+    cut = templates_of(texts, forms(any_case)).withColumn("words", split_words(F.col("plain")))
+    cut = cut.withColumn("width", F.least(F.size("words"), F.lit(window))).filter("width > 0")
 
+    def windows(form: str) -> Column:
+        part = lambda c, i: F.slice(F.col(c), i, F.col("width"))
+        return F.transform(starts(F.col("words"), F.col("width")), lambda i: F.struct(F.lit(form).alias("form"), i.alias("item_at"), part(form, i).alias("item_template"), part("words", i).alias("item_words")))
 
-def met_in_set(cut: DataFrame, index: DataFrame, widths: list[int]) -> DataFrame:
+    def enough(w: Column) -> Column:
+        solid = F.filter(w["item_template"], literal)
+        return (F.size(solid) >= LITERALS) & (F.size(F.array_distinct(solid)) >= DIFFERENT)
+
+    each = cut.select("item_id", "width", F.size("words").alias("item_size"), F.explode(F.filter(F.concat(*[windows(f) for f in forms(any_case)]), enough)).alias("w"))
+    return each.select("item_id", "width", "item_size", "w.*").withColumn("hash", F.xxhash64("item_template"))
+
+
+def met_in_set(cut: DataFrame, index: DataFrame, widths: list[tuple[str, int]]) -> DataFrame:
     """All documents with the ``places`` of their windows that are in the index, mostly none; each is tested where it is read, nothing is shuffled."""
     hashes = {w: [] for w in widths}
-    for row in index.select("width", "hash").distinct().collect():
-        hashes[row["width"]].append(row["hash"])
+    for row in index.select("form", "width", "hash").distinct().collect():
+        hashes[row["form"], row["width"]].append(row["hash"])
 
-    def at(width: int) -> Column:
-        words = F.col("template")
-        places = F.filter(starts(words, width), lambda i: F.xxhash64(F.slice(words, i, F.lit(width))).isin(hashes[width]))
-        return F.transform(places, lambda i: F.struct(i.alias("at"), F.lit(width).alias("width")))
+    def at(form: str, width: int) -> Column:
+        words = F.col(form)
+        places = F.filter(starts(words, width), lambda i: F.xxhash64(F.slice(words, i, F.lit(width))).isin(hashes[form, width]))
+        return F.transform(places, lambda i: F.struct(F.lit(form).alias("form"), i.alias("at"), F.lit(width).alias("width")))
 
-    places = F.concat(*[at(w) for w in widths]) if widths else F.array().cast("array<struct<at:int,width:int>>")
+    places = F.concat(*[at(*w) for w in widths]) if widths else F.array().cast("array<struct<form:string,at:int,width:int>>")
     # a filter here would move below the templates and make them anew for every window
     return cut.withColumn("places", places)
 
 
-def met_in_join(cut: DataFrame, index: DataFrame, widths: list[int]) -> DataFrame:
+def met_in_join(cut: DataFrame, index: DataFrame, widths: list[tuple[str, int]]) -> DataFrame:
     """The same for a benchmark of any size: all windows are exploded, joined with the index by their hash, and gathered per document."""
     rows = None
-    for width in widths:
-        own = cut.select("id", "text_hash", F.posexplode_outer(window_hashes(F.col("template"), width)).alias("at", "hash"))
-        own = own.select("id", "text_hash", (F.col("at") + 1).alias("at"), F.lit(width).alias("width"), "hash")
+    for form, width in widths:
+        own = cut.select("id", "text_hash", F.posexplode_outer(window_hashes(F.col(form), width)).alias("at", "hash"))
+        own = own.select("id", "text_hash", F.lit(form).alias("form"), (F.col("at") + 1).alias("at"), F.lit(width).alias("width"), "hash")
         rows = own if rows is None else rows.unionByName(own)
-    hit = rows.join(index.select("hash", "width").distinct(), ["hash", "width"], "left_semi")
-    # places of a document; at most as many as it has words
-    hit = hit.groupBy(F.col("id").alias("own_id"), F.col("text_hash").alias("own_hash")).agg(F.collect_set(F.struct("at", "width")).alias("places"))
+    hit = rows.join(index.select("hash", "form", "width").distinct(), ["hash", "form", "width"], "left_semi")
+    # places of a document; for each form and width at most as many as it has words
+    hit = hit.groupBy(F.col("id").alias("own_id"), F.col("text_hash").alias("own_hash")).agg(F.collect_set(F.struct("form", "at", "width")).alias("places"))
     hit = cut_lineage(hit, "hits")
     return cut.join(hit, F.col("id").eqNullSafe(F.col("own_id")) & (F.col("text_hash") == F.col("own_hash"))).drop("own_id", "own_hash")
 
@@ -127,44 +141,52 @@ def contaminations(
     item_text_col: str = "text",
     window: int = WINDOW,
     set_rows: int = SET_ROWS,
+    any_case: bool = False,
 ) -> DataFrame:
     """One row for each document and benchmark item that share a consistent window: ``id_col``, ``text_hash``, ``item_id``, ``windows``, ``share``, ``exact``.
 
     ``windows`` counts the shared windows, ``share`` is the part of the item's windows among them, ``exact`` tells whether all slots hold the item's own values,
     those of windows beside them that agree in themselves but not over the stretch included.
-    Null texts and texts without a window that says enough share nothing. Rows with the same id are told apart by the hash of their text; a
+    Names are told by their capitals, so a copy in other letter case is found by windows without names only; with ``any_case`` windows of lower-cased words, names
+    among them, are searched as well. Null texts and texts without a window that says enough share nothing. Rows with the same id are told apart by the hash of their text; a
     row that is given twice gives the same row once. Null ids are kept as null. Empty tables give no row; other columns are not read.
     """
-    index = cut_lineage(benchmark_windows(items, item_id_col, item_text_col, window), "benchmark")
-    widths = [r["width"] for r in index.select("width").distinct().orderBy("width").collect()]
+    index = cut_lineage(benchmark_windows(items, item_id_col, item_text_col, window, any_case), "benchmark")
+    widths = [(r["form"], r["width"]) for r in index.select("form", "width").distinct().orderBy("form", "width").collect()]
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-    # words and template are kept apart from what is made of them, so that each is made once
-    cut = texts.select("id", "text_hash", plain(F.col("text")).alias("plain")).select("id", "text_hash", "plain", split_words(template(F.col("plain"))).alias("template"))
+    # words and templates are kept apart from what is made of them, so that each is made once
+    cut = templates_of(texts.select("id", "text_hash", plain(F.col("text")).alias("plain")), forms(any_case))
     small = index.count() <= set_rows
     sized = lambda df: F.broadcast(df) if small else df
-    found = met_in_set(cut, index, widths) if small else met_in_join(cut, index, widths)
+    found = met_in_set(cut, index, widths) if small or not widths else met_in_join(cut, index, widths)
     found = found.withColumn("words", split_words(F.col("plain")))
     part = lambda p, c: F.slice(F.col(c), p["at"], p["width"])
-    rows = F.transform("places", lambda p: F.struct(p["at"].alias("at"), p["width"].alias("width"), part(p, "template").alias("template"), part(p, "words").alias("words")))
+
+    def own_template(p: Column) -> Column:
+        return F.when(p["form"] == TYPED, part(p, TYPED)).otherwise(part(p, LOWER)) if any_case else part(p, TYPED)
+
+    rows = F.transform("places", lambda p: F.struct(p["form"].alias("form"), p["at"].alias("at"), p["width"].alias("width"), own_template(p).alias("template"), part(p, "words").alias("words")))
     found = found.select("id", "text_hash", F.explode_outer(rows).alias("w")).filter("w is not null")
     found = found.select("id", "text_hash", "w.*").withColumn("hash", F.xxhash64("template"))
-    met = found.join(sized(index), ["hash", "width"]).filter(F.col("template") == F.col("item_template"))
+    met = found.join(sized(index), ["hash", "form", "width"]).filter(F.col("template") == F.col("item_template"))
     slots = F.filter(
         F.zip_with(F.arrays_zip(F.col("item_words").alias("a"), F.col("words").alias("b")), "template", lambda p, t: F.struct(p["a"].alias("a"), p["b"].alias("b"), t.alias("t"))),
         lambda p: ~literal(p["t"]),
     )
     # numbers and names correspond by type
-    pairs = F.transform(slots, lambda p: F.struct(F.concat(p["t"], p["a"]).alias("a"), F.concat(p["t"], p["b"]).alias("b")))
+    value = lambda p, c: F.concat(p["t"], F.when(F.col("form") == TYPED, p[c]).otherwise(F.lower(p[c])))
+    pairs = F.transform(slots, lambda p: F.struct(value(p, "a").alias("a"), value(p, "b").alias("b")))
     met = met.withColumn("pairs", pairs).filter(one_to_one(F.col("pairs")))
     same = F.forall("pairs", lambda p: p["a"] == p["b"])
     # one stretch of a document against one item; its slots are at most the item's words
-    stretch = met.groupBy("id", "text_hash", "item_id", (F.col("at") - F.col("item_at")).alias("offset")).agg(
+    cased = (F.col("form") == TYPED) | (F.col("words") == F.col("item_words"))
+    stretch = met.groupBy("id", "text_hash", "item_id", "form", (F.col("at") - F.col("item_at")).alias("offset")).agg(
         F.collect_set("item_at").alias("places"), F.collect_set(F.when(same, F.col("item_at"))).alias("same_places"),
-        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"), F.first("item_size").alias("item_size"), F.first("width").alias("width"),
+        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"), F.first("item_size").alias("item_size"), F.first("width").alias("width"), F.bool_and(cased).alias("cased"),
     )
     # windows in the item's own words stay whatever stands beside them; the others have to agree over the stretch
     stretch = stretch.withColumn("places", F.when(one_to_one(F.col("pairs")), F.col("places")).otherwise(F.col("same_places"))).filter(F.size("places") > 0)
-    stretch = stretch.withColumn("exact", same)
+    stretch = stretch.withColumn("exact", same & F.col("cased"))
     counted = stretch.groupBy("id", "text_hash", "item_id").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("bigint").alias("windows"),
         F.first("item_size").alias("item_size"), F.first("width").alias("width"), F.bool_and("exact").alias("exact"),

@@ -257,6 +257,16 @@ def test_copies_with_one_value_changed(spark, set_rows):
     assert all(0 < got[i][0] < got[1][0] for i in (2, 3))
 
 
+@pytest.mark.parametrize("set_rows", [100_000, 0])
+def test_copies_in_other_letter_case(spark, set_rows):
+    changed = {1: ITEM, 2: ITEM.upper(), 3: ITEM.lower(), 4: ITEM.title(), 5: f"so {ITEM.upper()} ok", 6: ITEM.upper().replace("5", "9").replace("3", "2"), 7: ITEM.upper().replace("5", "7")}
+    docs = spark.createDataFrame(list(changed.items()), "doc_id long, text string")
+    items = spark.createDataFrame([(7, ITEM)], "item_id long, text string")
+    got = {r["doc_id"]: (r["windows"], r["exact"]) for r in templates.contaminations(docs, items, set_rows=set_rows, any_case=True).collect()}
+    assert {i: got[i] for i in range(1, 7)} == {1: (5, True), 2: (5, False), 3: (5, False), 4: (5, False), 5: (5, False), 6: (5, False)}
+    assert 0 < got[7][0] < 5
+
+
 def test_leaks_same_as_brute_force(spark):
     docs, items = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
     plain = lambda t: [w for w in ("".join(c for c in w if c.isalnum()) for w in (t or "").split()) if w]
