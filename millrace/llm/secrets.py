@@ -37,7 +37,17 @@ _FORMAT = "|".join(FORMATS.values())
 _BODY = "A-Za-z0-9+/_.-"
 #: Anything else of 16 or more token characters with a digit among them, up to a known format; never a name with the = behind it, so that the name stands before the value.
 GENERIC = rf"(?<![{_BODY}])(?=[A-Za-z+/_.-]*+[0-9])(?:(?!{_FORMAT})[{_BODY}]){{16,}}+(?!=+[{_BODY}])=*+"
-CANDIDATE = f"{_FORMAT}|{GENERIC}"
+_NAME = r"(?i:token|secret|passw(?:or)?d|passphrase|pwd|api[ _-]?key|access[ _-]?key|auth|bearer|private|credential|signature)(?:s|[_-][A-Za-z0-9_-]{0,20}|[A-Z][A-Za-z0-9]{0,20}(?<!OR)|[0-9]{1,3})?"
+_TO = r"[\"'`]?\s{0,3}(?:=>?|:=?)"
+_BARE = r"(?:[^\s\"'`,;&<>()\[\]{}]|&(?![\w.%-]+=))"
+#: Six or more printable characters assigned to a credential name: all between quotes; without quotes up to a blank or separator, behind a blank only with a digit, as
+#: prose and code assign plain words there. The short look behind comes first, as the long one costs more.
+ASSIGNED = "|".join([
+    *[rf"(?<={q})(?<={_NAME}{_TO}\s{{0,3}}{q})(?:\\[^\r\n]|[^{q}\\\r\n]){{6,}}+(?={q})" for q in "\"'`"],
+    rf"(?<=[=:])(?<={_NAME}{_TO}){_BARE}{{6,}}+",
+    rf"(?<=[=:]\s{{1,3}})(?<={_NAME}{_TO}\s{{1,3}})(?=[^\s0-9]*+[0-9]){_BARE}{{6,}}+",
+])
+CANDIDATE = f"{_FORMAT}|{ASSIGNED}|{GENERIC}"
 
 #: Words whose share of a candidate is its dictionary coverage. Fixed values.
 DICTIONARY = [
@@ -55,7 +65,7 @@ DICTIONARY = [
     "source", "state", "status", "store", "string", "style", "support", "system", "table", "test", "text", "theme", "time", "title", "token", "update",
 ]
 
-CREDENTIAL = r"(?:token|secret|passw(?:or)?d|pwd|api[ _-]?key|access[ _-]?key|auth|bearer|private|credential|signature)"
+CREDENTIAL = r"(?:token|secret|passw(?:or)?d|passphrase|pwd|api[ _-]?key|access[ _-]?key|auth|bearer|private|credential|signature)"
 PLAIN = r"(?:card|phone|call|number|isbn|iban|order|invoice|commit|sha|md5|digest|checksum|uuid|hash|version|page|date|http|www)"
 DUMMY = r"(?:example|sample|dummy|test|fake|placeholder|change[ _-]?me|xxx|your)"
 FEATURES = [
@@ -65,7 +75,11 @@ FEATURES = [
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
-    """One row per candidate: id, text_hash, path, ``start`` and ``n_chars`` in code points, ``value``, ``before`` and ``after``."""
+    """One row per candidate: id, text_hash, path, ``start`` and ``n_chars`` in code points, ``value``, ``before`` and ``after``.
+
+    Candidates are known formats anywhere, six or more printable characters assigned to a credential name (without quotes and behind a blank: with a digit among them),
+    and elsewhere 16 or more token characters with a digit among them.
+    """
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col else F.lit("")
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), path.alias("path"), F.col(text_col).alias("text"))
     # most texts hold none and go no further than this
@@ -131,7 +145,10 @@ def rule_labels(findings: DataFrame) -> DataFrame:
     """``findings`` with ``label``: 1 for clear secrets, 0 for clear false positives, null for the rest, which the forest decides."""
     # without quotes, as in shells, .env files and URLs, the value has to look like a token itself: no path, number or identifier
     token = F.col("value").rlike("^[A-Za-z0-9+/_-]+=*$") & (F.col("digits") > 0) & (F.col("digits") < 1) & (F.col("dictionary") < 0.2)
-    real = (F.col("known_format") == 1) | ((F.col("credential_before") == 1) & (F.col("assigned") == 1) & ((F.col("quoted") == 1) | token))
+    token = token & (F.col("length") >= 16)
+    # a quoted word may be a password or the name of something: the forest decides
+    mixed = F.col("value").rlike("^[^\\s]*[0-9][^\\s]*$") & (F.col("digits") < 1) | (F.col("digits") == 1) & (F.col("length") >= 16)
+    real = (F.col("known_format") == 1) | ((F.col("credential_before") == 1) & (F.col("assigned") == 1) & ((F.col("quoted") == 1) & mixed | token))
     named_plain = (F.col("plain_before") == 1) & (F.col("assigned") == 1) & (F.col("quoted") == 0)
     plain = (F.col("digits") == 1) | ((F.col("credential_before") == 0) & ((F.col("assigned") == 0) | named_plain))
     label = F.when(F.col("dummy_near") == 1, 0).when(real, 1).when(plain, 0)

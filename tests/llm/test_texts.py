@@ -211,6 +211,22 @@ def test_secrets_behind_a_name_without_quotes(spark):
     assert {i: masked[i] for i in shown} == {i: form.format("<SECRET>") for i, (form, _) in shown.items()}
 
 
+def test_short_secrets_behind_credential_names(spark):
+    hexa = [hashlib.md5(str(i).encode()).hexdigest() for i in range(40)]
+    shown = {
+        900: ('password = "{}"', "Tr0ub4dor&3"), 901: ('password = "{}"', "correcthorsebatterystaple"), 902: ("api_key: {}", "a1b2c3d4e5f6"), 903: ("DB_PASSWORD={} x", "hunter2!x&y"),
+        904: ("{{'passphrase': '{}'}}", "four words of \\' it"), 905: ("https://h.io/?token={}&page=2", "a1b2c3d4"),
+    }
+    rows = [(i, f'set token = "{h}" here', "src") for i, h in enumerate(hexa)] + [(100 + i, f"the commit {h} was good", "src") for i, h in enumerate(hexa)]
+    rows += [(i, form.format(value), "src") for i, (form, value) in shown.items()]
+    rows += [(950, "author: Jane2Doe the secretary: none", "src"), (951, "token = getToken() and the secret: nothing more", "src"), (952, 'password = "abc"', "src")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = secrets.scan(docs)
+    got = {r["doc_id"]: (r["start"], r["value"]) for r in found.collect()}
+    assert {i: got.get(i) for i in shown} == {i: (form.replace("{{", "{").index("{}"), value) for i, (form, value) in shown.items()}
+    assert set(got) == {*range(40), *shown}
+
+
 def test_forest_learns_given_labels(spark):
     rows = [(i, f"commit {i:040x} x" if i % 2 else f"word {i:040x}, x", "p") for i in range(40)]
     found = secrets.candidates(spark.createDataFrame(rows, "doc_id long, text string, source string"))
