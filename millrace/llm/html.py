@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 #: Content has at least so many characters and this share of stop words; more of its characters than this in links, and it is none.
 CONTENT_CHARS, CONTENT_STOP_WORDS, LINKED = 80, 0.12, 0.5
+#: Running text of so many characters, with few links, overrules the name of an element around it.
+LONG_CHARS = 240
 #: A block below this length with a copyright mark, or with any link beside other text, is boilerplate outside an article.
 SHORT_CHARS, SHORT_LINKED = 80, 0.25
 
@@ -46,7 +48,11 @@ _MARKED = re.compile(
     r"complementary|contentinfo|skip-?link\w*|tags?|toc)(?=$|[\s_-])",
     re.I,
 )
-_NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+#: Of these, names that running text has no part in; any other is overruled by long running text.
+_FOREIGN = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|comments?|commentlist|respond|replies|disqus|cookies?|consent|gdpr|popup|modal|overlay|newsletter|subscri\w*)(?=$|[\s_-])", re.I)
+#: Names of the text itself, which outweigh a mark that is not foreign.
+_OWN = re.compile(r"(?:^|\s)(?:article|post|entry|page|main|story)[_-]{1,2}(?:body|content|text)(?=$|\s)", re.I)
+_NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?=$|[\s=/])|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|<[!?/][^>]*>|<(?=[a-zA-Z/!?])[^>]*\Z|[^<]+|<""", re.S)
 _WORD = re.compile(r"\w+")
@@ -59,13 +65,31 @@ class Block(NamedTuple):
     heading: bool
     container: int
     article: bool
+    #: Numbers of the elements around it that a name alone marks as boilerplate.
+    marks: tuple[int, ...] = ()
+
+
+def mark(tag: str, attributes: str, article: bool) -> str | None:
+    """What class, id and role say of an element: "foreign" or "named" boilerplate, or nothing.
+
+    Ids of headings are anchors, and so are ids in an article unless the whole id is such a name; headings and sections of an article have no mark.
+    """
+    if not attributes or tag in ("html", "body", "article", "main") or article and (tag in HEADING or tag == "section"):
+        return None
+    found = [(k.lower(), v.strip("\"'")) for k, v in _NAMES.findall(attributes)]
+    ids = [v for k, v in found if k == "id" and tag not in HEADING]
+    ids = [v for v in ids if not article or (m := _MARKED.search(v)) and m[0] == v]
+    names = " ".join([*(v for k, v in found if k != "id"), *ids])
+    if not _MARKED.search(names):
+        return None
+    return "foreign" if _FOREIGN.search(names) else None if _OWN.search(names) else "named"
 
 
 def blocks(page: str) -> list[Block]:
     """The blocks of a page, in order. Unclosed elements end with the element around them."""
     found: list[Block] = []
-    # open block elements: tag, boilerplate, article, number of the container
-    stack: list[tuple[str, bool, bool, int]] = [("", False, False, 0)]
+    # open block elements: tag, boilerplate, article, number of the container, marks
+    stack: list[tuple[str, bool, bool, int, tuple[int, ...]]] = [("", False, False, 0, ())]
     pieces: list[str] = []
     linked = containers = link_depth = 0
 
@@ -74,8 +98,8 @@ def blocks(page: str) -> list[Block]:
         if pieces:
             text = " ".join("".join(pieces).split())
             if text:
-                _, boilerplate, article, container = stack[-1]
-                found.append(Block(text, linked, boilerplate, any(e[0] in HEADING for e in stack[-2:]), container, article))
+                _, boilerplate, article, container, marks = stack[-1]
+                found.append(Block(text, linked, boilerplate, any(e[0] in HEADING for e in stack[-2:]), container, article, marks))
         pieces, linked = [], 0
 
     at = 0
@@ -117,18 +141,34 @@ def blocks(page: str) -> list[Block]:
             # a paragraph ends where the next block begins, a list item or cell at the next one
             while stack[-1][0] == "p" or stack[-1][0] in HEADING or stack[-1][0] == tag and tag in ("li", "dt", "dd", "td", "th", "tr", "option"):
                 stack.pop()
-            _, boilerplate, article, container = stack[-1]
-            names = " ".join(x.strip("\"'") for x in _NAMES.findall(m[3])) if m[3] else ""
-            own = tag in BOILERPLATE or (tag == "header" and not article) or bool(names and tag not in ("html", "body", "article", "main") and _MARKED.search(names))
+            _, boilerplate, article, container, marks = stack[-1]
+            named = mark(tag, m[3], article)
+            own = tag in BOILERPLATE or (tag == "header" and not article) or named == "foreign"
             own = own or bool(m[3] and _HIDDEN.search(m[3]))
-            if tag in ("article", "main") or own and not boilerplate:
+            if tag in ("article", "main") or (own or named) and not boilerplate:
                 containers += 1
                 container = containers
-            stack.append((tag, boilerplate or own, article or tag in ("article", "main"), container))
+            if named == "named" and not own and not boilerplate:
+                marks = (*marks, containers)
+            stack.append((tag, boilerplate or own, article or tag in ("article", "main"), container, marks))
     flush()
     return found
 
 
+def running(block: Block) -> bool:
+    words = _WORD.findall(block.text.lower())
+    return bool(words) and sum(w in STOP_WORDS for w in words) >= CONTENT_STOP_WORDS * len(words)
+
+
+def weighed(found: list[Block]) -> list[Block]:
+    """The blocks, those of marked elements as boilerplate unless long running text with few links stands in each of these."""
+    if not any(b.marks for b in found):
+        return found
+    long = [b for b in found if b.marks and not b.boilerplate and len(b.text) >= LONG_CHARS and b.linked < SHORT_LINKED * (len(b.text) - b.text.count(" ")) and running(b)]
+    overruled = {n for b in long for n in b.marks}
+    return [b._replace(boilerplate=b.boilerplate or not overruled.issuperset(b.marks)) for b in found]
+
+
 def first_pass(block: Block) -> bool | None:
     """True for content, False for boilerplate, None where the block by itself does not tell."""
     chars = len(block.text)
@@ -139,8 +179,7 @@ def first_pass(block: Block) -> bool | None:
     if not block.article and chars < SHORT_CHARS and (share >= SHORT_LINKED or "©" in block.text):
         return False
     if chars >= CONTENT_CHARS and not block.heading:
-        words = _WORD.findall(block.text.lower())
-        if words and sum(w in STOP_WORDS for w in words) >= CONTENT_STOP_WORDS * len(words):
+        if running(block):
             return True
     return None
 
@@ -185,7 +224,7 @@ def second_pass(found: list[Block], labels: list[bool | None]) -> list[bool]:
 
 
 def main_text(page: str) -> str:
-    found = blocks(page)
+    found = weighed(blocks(page))
     return "\n".join(b.text for b, keep in zip(found, second_pass(found, [first_pass(b) for b in found])) if keep)
 
 

@@ -71,6 +71,23 @@ def test_pages(spark):
     assert html.extract(df.limit(0)).collect() == []
 
 
+LONG = SENTENCE.strip() + " " + SENTENCE.strip() + " " + SENTENCE.strip()
+
+
+@pytest.mark.parametrize("attributes", ["section id='related-work'", "section id='recommendations'", "div id='social-history'", "div id='legal-analysis'", "div class='article-body widget'", "section class='related'"])
+def test_names_in_an_article_do_not_drop_its_text(attributes):
+    tag = attributes.split()[0]
+    page = f"<article><h1>T</h1><p>{SENTENCE}</p><{attributes}><h2 id='search'>Search</h2><p>Short one.</p></{tag}><div class='ad'>{LONG}</div></article>"
+    assert html.main_text(page) == f"T\n{SENTENCE.strip()}\nSearch\nShort one."
+
+
+def test_long_running_text_overrules_a_name():
+    page = f"<p>{SENTENCE}</p><div class='widget'><h2 id='legal'>Law</h2><p>{LONG}</p><div class='share'>Share it</div></div><div class='sidebar'><p>{SENTENCE}</p></div><div class='ad'><p>{LONG}</p></div>"
+    assert html.main_text(page) == f"{SENTENCE.strip()}\nLaw\n{LONG}"
+    linked = f"<p>{SENTENCE}</p><div class='related'><p><a href=x>{LONG[:200]}</a> {LONG}</p></div><div hidden class='widget'><p>{LONG}</p></div>"
+    assert html.main_text(linked) == SENTENCE.strip()
+
+
 def test_undecided_blocks_follow_the_nearest():
     block = lambda i: html.Block(str(i), 0, False, False, 0, False)
     labels = [True, None, None, None, False, None]
