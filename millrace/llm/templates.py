@@ -24,6 +24,10 @@ SET_ROWS = 100_000
 NUMBER, NAME, UNIT = "<num>", "<name>", "<unit>"
 #: Templates of a text: names, numbers and units typed; numbers and units typed, in lower case.
 TYPED, LOWER = "typed", "lower"
+#: The plain words in lower case, for items without a window that says enough.
+WHOLE = "whole"
+#: Letters of scripts without blanks between words; each is a word of its own.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 
 #: Units that are replaced behind a number. Fixed values.
 UNITS = [
@@ -36,8 +40,9 @@ UNITS = [
 
 
 def plain(text: Column) -> Column:
-    """The text without punctuation and with one blank between words."""
-    return F.trim(F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), r"[^\p{L}\p{N}\s]+", ""), r"\s+", " "))
+    """The text without punctuation and with one blank between words, and between the letters of scripts that write none."""
+    letters = F.regexp_replace(F.coalesce(text, F.lit("")), r"[^\p{L}\p{N}\s]+", "")
+    return F.trim(F.regexp_replace(F.regexp_replace(letters, f"({UNSPACED})", " $1 "), r"\s+", " "))
 
 
 def template(words: Column, names: bool = True) -> Column:
@@ -72,15 +77,18 @@ def forms(any_case: bool) -> list[str]:
 
 def templates_of(texts: DataFrame, wanted: list[str]) -> DataFrame:
     """``texts`` with a column of template words for each wanted form, from the column ``plain``."""
-    made = {TYPED: template(F.col("plain")), LOWER: template(F.col("plain"), names=False)}
+    made = {TYPED: template(F.col("plain")), LOWER: template(F.col("plain"), names=False), WHOLE: F.lower("plain")}
     return texts.select("*", *[split_words(made[f]).alias(f) for f in wanted])
 
 
 def benchmark_windows(items: DataFrame, id_col: str, text_col: str, window: int, any_case: bool = False) -> DataFrame:
-    """(hash, form, item_id, item_at, width, item_template, item_words, item_size) for the windows that say enough; an item shorter than a window is one."""
+    """(hash, form, item_id, item_at, width, item_template, item_words, item_size) for the windows that say enough; an item shorter than a window is one.
+
+    An item without such a window has all its windows of plain words, as form WHOLE.
+    """
     texts = items.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("item_id"), plain(F.col(text_col)).alias("plain"))
-    cut = templates_of(texts, forms(any_case)).withColumn("words", split_words(F.col("plain")))
-    cut = cut.withColumn("width", F.least(F.size("words"), F.lit(window))).filter("width > 0")
+    cut = templates_of(texts.filter("plain <> ''"), [*forms(any_case), WHOLE]).withColumn("words", split_words(F.col("plain")))
+    cut = cut.withColumn("width", F.least(F.size("words"), F.lit(window)))
 
     def windows(form: str) -> Column:
         part = lambda c, i: F.slice(F.col(c), i, F.col("width"))
@@ -90,7 +98,9 @@ def benchmark_windows(items: DataFrame, id_col: str, text_col: str, window: int,
         solid = F.filter(w["item_template"], literal)
         return (F.size(solid) >= LITERALS) & (F.size(F.array_distinct(solid)) >= DIFFERENT)
 
-    each = cut.select("item_id", "width", F.size("words").alias("item_size"), F.explode(F.filter(F.concat(*[windows(f) for f in forms(any_case)]), enough)).alias("w"))
+    told = cut.withColumn("told", F.filter(F.concat(*[windows(f) for f in forms(any_case)]), enough))
+    shown = F.when(F.size("told") > 0, F.col("told")).otherwise(windows(WHOLE))
+    each = told.select("item_id", "width", F.size("words").alias("item_size"), F.explode(shown).alias("w"))
     return each.select("item_id", "width", "item_size", "w.*").withColumn("hash", F.xxhash64("item_template"))
 
 
@@ -148,14 +158,17 @@ def contaminations(
     ``windows`` counts the shared windows, ``share`` is the part of the item's windows among them, ``exact`` tells whether all slots hold the item's own values,
     those of windows beside them that agree in themselves but not over the stretch included.
     Names are told by their capitals, so a copy in other letter case is found by windows without names only; with ``any_case`` windows of lower-cased words, names
-    among them, are searched as well. Null texts and texts without a window that says enough share nothing. Rows with the same id are told apart by the hash of their text; a
+    among them, are searched as well. An item without a window that says enough (short, or mostly numbers or names) is found where all its words stand in order, in any
+    letter case. Letters of scripts without blanks count as words. Null texts and texts without a letter or number share nothing. Rows with the same id are told apart by the hash of their text; a
     row that is given twice gives the same row once. Null ids are kept as null. Empty tables give no row; other columns are not read.
     """
     index = cut_lineage(benchmark_windows(items, item_id_col, item_text_col, window, any_case), "benchmark")
     widths = [(r["form"], r["width"]) for r in index.select("form", "width").distinct().orderBy("form", "width").collect()]
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     # words and templates are kept apart from what is made of them, so that each is made once
-    cut = templates_of(texts.select("id", "text_hash", plain(F.col("text")).alias("plain")), forms(any_case))
+    # only a benchmark with such items needs the documents' plain words
+    wanted = [*forms(any_case), *([WHOLE] if any(form == WHOLE for form, _ in widths) else [])]
+    cut = templates_of(texts.select("id", "text_hash", plain(F.col("text")).alias("plain")), wanted)
     small = index.count() <= set_rows
     sized = lambda df: F.broadcast(df) if small else df
     found = met_in_set(cut, index, widths) if small or not widths else met_in_join(cut, index, widths)
@@ -163,7 +176,7 @@ def contaminations(
     part = lambda p, c: F.slice(F.col(c), p["at"], p["width"])
 
     def own_template(p: Column) -> Column:
-        return F.when(p["form"] == TYPED, part(p, TYPED)).otherwise(part(p, LOWER)) if any_case else part(p, TYPED)
+        return F.coalesce(*[F.when(p["form"] == form, part(p, form)) for form in wanted])
 
     rows = F.transform("places", lambda p: F.struct(p["form"].alias("form"), p["at"].alias("at"), p["width"].alias("width"), own_template(p).alias("template"), part(p, "words").alias("words")))
     found = found.select("id", "text_hash", F.explode_outer(rows).alias("w")).filter("w is not null")
@@ -186,6 +199,8 @@ def contaminations(
     )
     # windows in the item's own words stay whatever stands beside them; the others have to agree over the stretch
     stretch = stretch.withColumn("places", F.when(one_to_one(F.col("pairs")), F.col("places")).otherwise(F.col("same_places"))).filter(F.size("places") > 0)
+    # an item of plain words has to be there as a whole
+    stretch = stretch.filter((F.col("form") != WHOLE) | (F.size("places") == F.col("item_size") - F.col("width") + 1))
     stretch = stretch.withColumn("exact", same & F.col("cased"))
     counted = stretch.groupBy("id", "text_hash", "item_id").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("bigint").alias("windows"),

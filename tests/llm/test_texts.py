@@ -300,6 +300,21 @@ def test_copies_in_other_letter_case(spark, set_rows):
     assert 0 < got[7][0] < 5
 
 
+@pytest.mark.parametrize("set_rows", [100_000, 0])
+@pytest.mark.parametrize("any_case", [False, True])
+def test_every_item_is_searched(spark, set_rows, any_case):
+    texts = {
+        1: "What is 12 + 5 - 3 * 8 / 2 + 7 - 9 * 4 + 11?", 2: "Anna, Bob, Carl, Dora, Emil, Frida, Gustav, Hanna, Ida, Jan, Karl, Lena", 3: "far too short", 4: "?!", 5: None,
+        6: "\u4eca\u65e5\u306f\u5929\u6c17\u304c\u3044\u3044\u3067\u3059\u306d\u3002\u6563\u6b69\u3057\u307e\u3057\u3087\u3046",
+    }
+    items = spark.createDataFrame(list(texts.items()), "item_id long, text string")
+    rows = [(i, f"so \u3042{t}\u3042 ok" if i == 6 else f"so {t} ok") for i, t in texts.items() if t]
+    rows += [(11, texts[1].replace("12", "13")), (12, "What is 12 + 5"), (13, "far too long and short"), (14, texts[6][:6]), (15, None), (16, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"], r["exact"], r["share"]) for r in templates.contaminations(docs, items, set_rows=set_rows, any_case=any_case).collect()}
+    assert {g[:3] for g in got} == {(i, i, True) for i in (1, 2, 3, 6)} and all(g[3] == 1.0 for g in got if g[1] in (1, 3))
+
+
 def test_leaks_same_as_brute_force(spark):
     docs, items = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
     plain = lambda t: [w for w in ("".join(c for c in w if c.isalnum()) for w in (t or "").split()) if w]
