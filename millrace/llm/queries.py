@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, html, langid, mixing, secrets, simhash, substrings, templates, toxicity, vectors
+from millrace.llm import chat, html, langid, mixing, search, secrets, simhash, substrings, templates, toxicity, vectors
 from millrace.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,3 +122,23 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.LanguageModel.fit(docs.filter(langid.learnable("doc_id")))
     return model.predict(docs.select("doc_id", "text")).select("doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+SEARCH_SQL = r"""
+with t as (select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from documents),
+q as (select distinct item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark),
+sizes as (select doc_id, count(*) as n from t group by doc_id),
+totals as (select count(*) as n_docs, sum(n)::bigint as n_terms from sizes),
+tf as (select doc_id, term, count(*) as tf from t where term in (select term from q) group by doc_id, term),
+w as (select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)::double))::bigint as w from tf, totals group by term, n_docs),
+hits as (select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))))::bigint as score
+         from q join tf using (term) join w using (term) join sizes using (doc_id), totals group by item_id, doc_id),
+ranked as (select item_id, row_number() over (partition by item_id order by score desc, doc_id)::integer as rank, doc_id, score from hits where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= 10"""
+
+
+@with_sql(SEARCH_SQL)
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
