@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, html, langid, mixing, search, secrets, simhash, substrings, templates, toxicity, vectors
+from millrace.llm import align, chat, html, langid, mixing, search, secrets, simhash, substrings, templates, toxicity, vectors
 from millrace.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,6 +124,15 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.predict(docs.select("doc_id", "text")).select("doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+#: Where the vocabulary files of the public tokenizers lie.
+TOKENIZERS = "/opt/tokenizers"
+
+
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
 SEARCH_SQL = r"""
 with t as (select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from documents),

@@ -16,9 +16,10 @@ COLUMNS = {
     "op8_benchmark_decontamination": ["doc_id", "item_id"],
     "op9_simhash_near_dedup": ["doc_id", "fingerprint", "component_id"],
     "op10_language_id": ["doc_id", "held_out", "lang_pred", "score"],
+    "op12_token_alignment": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
     "op13_ranked_search": ["item_id", "rank", "doc_id", "score"],
 }
-LONGS = {"doc_id", "conv_id", "page_id", "vec_id", "n_turns", "loss_chars", "formatted_chars", "n_chars", "size", "source_size", "taken", "n_links", "component_id", "n_words", "n_removed"}
+LONGS = {"doc_id", "n_a", "n_b", "n_groups", "n_best", "count_sum", "conv_id", "page_id", "vec_id", "n_turns", "loss_chars", "formatted_chars", "n_chars", "size", "source_size", "taken", "n_links", "component_id", "n_words", "n_removed"}
 
 
 @pytest.mark.parametrize("name", ORACLES)
