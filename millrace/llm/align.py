@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Callable, Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -29,9 +31,15 @@ FAN = 16
 BROADCAST_PAIRS = 4_000_000
 #: Bytes of text that are encoded together.
 PASS_BYTES = 1 << 20
+#: Ids of units of text that a task keeps encoded, and units that are encoded in one run.
+KNOWN_IDS, RUN_UNITS = 1 << 22, 2000
 #: A pair of ids is one number: the first tokenizer's id above these bits, the second's in them.
 ID_BITS = 20
 
+#: A blank that no token crosses to its left: white space and what the second tokenizer writes for a blank stand on neither side.
+_BLANK = re.compile("(?<=[^\\s\u2581\u180e]) (?=[^\\s\u2581\u180e])")
+_ODD_END = re.compile("[\\s\u2581\u180e]")
+
 _LISTS = ("head_a", "head_a_ends", "head_b", "head_b_ends", "tail_a", "tail_a_ends", "tail_b", "tail_b_ends")
 _PIECE = pa.schema(
     [(n, pa.int64()) for n in ("key", "chunk", "n_a", "n_b")]
@@ -145,18 +153,60 @@ class Codecs:
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.sizes_a, self.sizes_b = (np.array([len(x) for x in table], np.int64) for table in (self.bytes_a, self.bytes_b))
         self.n_a, self.n_b = n_a, n_b
+        self._forget()
         marks = [*(f"{i}," for i in range(n_a)), *(f"{i}|" for i in range(n_a)), *(f"{i}," for i in range(n_b)), *(f"{i};" for i in range(n_b))]
         self.marks = np.array(marks, object)
 
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
-        """Ids of both for a blank and the text; None where their bytes are not these."""
-        out: list[tuple[np.ndarray, np.ndarray] | None] = []
-        with_blank = [" " + t for t in texts]
-        for text, a, b in zip(with_blank, self.a.encode_batch(with_blank, add_special_tokens=False), self.b.encode(texts, num_threads=1)):
-            data, ids = text.encode(), a.ids
-            same = b"".join([self.bytes_a[i] for i in ids]) == data == b"".join([self.bytes_b[i] for i in b])
-            out.append((np.array(ids, np.int64), np.array(b, np.int64)) if same else None)
-        return out
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.same = np.zeros(0, bool)
+        self.ids, self.bounds = [np.zeros(0, np.int32)] * 2, [np.zeros(1, np.int64)] * 2
+
+    def _learn(self, units: list[str]) -> None:
+        """Encode units that are not known yet, many in one run with blanks between them; those with an odd end one by one."""
+        odd = [u for u in units if not u or _ODD_END.match(u[0]) or _ODD_END.match(u[-1])]
+        rest = list(set(units).difference(odd)) if odd else units
+        runs = [rest[k : k + RUN_UNITS] for k in range(0, len(rest), RUN_UNITS)] + [[u] for u in odd]
+        joined = [" ".join(run) for run in runs]
+        found_a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in joined], add_special_tokens=False)]
+        for run, *sides in zip(runs, found_a, self.b.encode(joined, num_threads=1)):
+            data = [b" " + u.encode() for u in run]
+            ends = np.cumsum([len(x) for x in data])
+            same = all(b"".join([t[i] for i in ids]) == b"".join(data) for t, ids in zip((self.bytes_a, self.bytes_b), sides))
+            if not same and len(run) > 1:
+                for unit in run:
+                    self._learn([unit])
+                continue
+            self.number.update(zip(run, range(len(self.same), len(self.same) + len(run))))
+            self.same = np.concatenate((self.same, np.full(len(run), same)))
+            for side, (ids, table) in enumerate(zip(sides, (self.sizes_a, self.sizes_b))):
+                ids = np.array(ids, np.int32)
+                cuts = np.searchsorted(np.cumsum(table[ids]), ends, "right") if same else [len(ids)]
+                self.bounds[side] = np.concatenate((self.bounds[side], self.bounds[side][-1] + cuts))
+                self.ids[side] = np.concatenate((self.ids[side], ids))
+
+    def encode(self, texts: list[str]) -> list[list[np.ndarray] | None]:
+        """Ids of both for a blank and each text; None where their bytes are not these.
+
+        A text is cut at blanks between two other characters: no token reaches over one to its left, so units are encoded once and looked up later.
+        """
+        if len(self.ids[0]) > KNOWN_IDS:
+            self._forget()
+        listed = [_BLANK.split(t) for t in texts]
+        units = list(chain.from_iterable(listed))
+        new = list(set(units) - self.number.keys())
+        if new:
+            self._learn(new)
+        at = np.fromiter(map(self.number.__getitem__, units), np.int64, len(units))
+        edges = np.concatenate(([0], np.cumsum([len(x) for x in listed])))
+        good = np.logical_and.reduceat(self.same[at], edges[:-1])
+        sides = []
+        for ids, bounds in zip(self.ids, self.bounds):
+            width = bounds[at + 1] - bounds[at]
+            ends = np.concatenate(([0], np.cumsum(width)))
+            line = ids[np.arange(ends[-1]) + np.repeat(bounds[at] - ends[:-1], width)].astype(np.int64)
+            sides.append(np.split(line, ends[edges[1:-1]]))
+        return [pair if ok else None for ok, *pair in zip(good.tolist(), *sides)]
 
     def placed(self, a: np.ndarray, b: np.ndarray, start: int) -> Tokens:
         return Tokens(a, start + np.cumsum(self.sizes_a[a]), b, start + np.cumsum(self.sizes_b[b]))
