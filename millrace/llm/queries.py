@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import align, chat, html, langid, mixing, search, secrets, simhash, substrings, templates, toxicity, vectors
+from millrace.llm import align, chat, html, langid, mixing, quality, search, secrets, simhash, substrings, templates, toxicity, vectors
 from millrace.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,6 +124,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.predict(docs.select("doc_id", "text")).select("doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels").filter(quality.learnable("doc_id")))
+    return quality.score(docs, model).select("doc_id", quality.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 #: Where the vocabulary files of the public tokenizers lie.
 TOKENIZERS = "/opt/tokenizers"
 

@@ -16,6 +16,7 @@ COLUMNS = {
     "op8_benchmark_decontamination": ["doc_id", "item_id"],
     "op9_simhash_near_dedup": ["doc_id", "fingerprint", "component_id"],
     "op10_language_id": ["doc_id", "held_out", "lang_pred", "score"],
+    "op11_quality_classifier": ["doc_id", "held_out", "score", "predicted"],
     "op12_token_alignment": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
     "op13_ranked_search": ["item_id", "rank", "doc_id", "score"],
 }
