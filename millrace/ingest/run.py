@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from millrace.functions.fingerprint import python_text, row_md5
 from millrace.ingest.specs import IngestSpec
-from millrace.session import cut_lineage
-from millrace.sinks.writers import append_by_name, truncate_load
+from millrace.session import remove_folder
+from millrace.sinks.writers import NESTED, table_location, truncate_load
 
-#: The table property that holds the latest change time loaded.
-KEPT = "millrace.loaded_until"
+#: Table properties: the latest change time loaded, and the number of loads that are done.
+KEPT, LOADS = "millrace.loaded_until", "millrace.loads"
 
 
 def now_text() -> str:
@@ -70,32 +70,62 @@ def drop_loaded(stamped: DataFrame, target: DataFrame, spec: IngestSpec, since:
     return stamped.join(seen, [spec.key, "src_fields_md5"], "left_anti").select(*stamped.columns)
 
 
+def table_properties(spark: SparkSession, target: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {target}").collect()}
+
+
 def loaded_until(spark: SparkSession, target: str) -> datetime.datetime | None:
     """The watermark kept with the table by the last load; only a table without one is scanned."""
-    kept = spark.sql(f"SHOW TBLPROPERTIES {target}").filter(F.col("key") == KEPT).select("value").collect()
-    if not kept:
+    kept = table_properties(spark, target).get(KEPT)
+    if kept is None:
         return read_watermark(spark.table(target))
-    return datetime.datetime.fromisoformat(kept[0]["value"]) if kept[0]["value"] else None
+    return datetime.datetime.fromisoformat(kept) if kept else None
+
+
+def batch_folder(spark: SparkSession, target: str, label: str) -> str:
+    """The folder of one batch inside the table, emptied of what a batch of this name left when it failed."""
+    if table_properties(spark, target).get(NESTED) != "true":
+        raise ValueError(f"{target} does not read folders inside its own; make it with create_table")
+    folder = f"{table_location(spark, target).rstrip('/')}/batch-{label}"
+    remove_folder(spark, folder)
+    spark.catalog.refreshTable(target)
+    return folder
+
+
+def write_batch(rows: DataFrame, target: str, folder: str) -> DataFrame:
+    """Write the rows once, into their place in the table; what is read back is the batch alone."""
+    spark = rows.sparkSession
+    schema = spark.table(target).schema
+    rows.select(*schema.names).write.mode("overwrite").parquet(folder)
+    spark.catalog.refreshTable(target)
+    return spark.read.schema(schema).parquet(folder)
+
+
+def keep(spark: SparkSession, target: str, values: dict[str, str]) -> None:
+    """Keep all values with the table, in one step."""
+    spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ({', '.join(f"'{k}' = '{v}'" for k, v in values.items())})")
 
 
 def ingest(source: DataFrame, target: str, spec: IngestSpec, load_time: str | None = None, inclusive: bool = False) -> int:
     """Load one table and return the number of rows written, at the cost of the batch, not of the table.
 
-    The batch is written to a folder of its own, which gives its rows (from the footers) and its latest change time. That is kept with the
-    table after the rows are in it: a load that fails in between is repeated from the older time, where ``inclusive`` finds what is there already.
+    The batch is written once, to a folder of the table that is named by the number of the load; the folder gives its rows (from the footers) and its latest
+    change time. That time and the number of the next load are then kept with the table in one step. A load that fails before has changed neither: when
+    it is repeated, it reads from the same time on and replaces its folder, so no row comes twice.
     """
     spark = source.sparkSession
     loaded = load_time or now_text()
     if spec.changed is None:
         return truncate_load(stamp(pull(source, spec, None), spec, loaded), target)
+    number = int(table_properties(spark, target).get(LOADS, "0"))
+    folder = batch_folder(spark, target, f"{number:09d}")
     since = loaded_until(spark, target)
     rows = stamp(pull(source, spec, since, inclusive), spec, loaded)
     if inclusive:
         rows = drop_loaded(rows, spark.table(target), spec, since)
-    batch = cut_lineage(rows, "batch")
+    batch = write_batch(rows, target, folder)
     written = batch.count()
     latest = read_watermark(batch)
-    append_by_name(batch, target)
     until = max((t for t in (since, latest) if t is not None), default=None)
-    spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ('{KEPT}' = '{until.isoformat() if until else ''}')")
+    keep(spark, target, {KEPT: until.isoformat() if until else "", LOADS: str(number + 1)})
     return written

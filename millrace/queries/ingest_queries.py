@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial, reduce
 
-from pyspark.sql import DataFrame
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.fingerprint import row_md5
 from millrace.ingest.run import ingest, pull, read_watermark, stamp, watermark
 from millrace.ingest.specs import WAREHOUSE, IngestSpec, labelled
+from millrace.ingest.stream import Feed, ingest_stream
 from millrace.registry import query
 from millrace.session import scratch_name, scratch_path, table
 from millrace.sinks.writers import append_by_name, create_table
+from millrace.streaming.counts import drain
+from millrace.streaming.sources import parquet_files
 
 CUT = "2000-01-01"
 LOADED_AT = "2024-05-06 07:08:09"
@@ -199,21 +204,83 @@ def _target_sql(target: str, columns: int, changes: bool) -> str:
     return f"select '{target}' as target, {expressions[0]}::varchar as key, md5({digest}) as src_fields_md5, {updated} as updatets from {name}"
 
 
-@query("etl_seventeen_tables", " union all ".join(_target_sql(t, len(s.columns), s.changed is not None) for t, s in WAREHOUSE.items()))
+SEVENTEEN_SQL = " union all ".join(_target_sql(t, len(s.columns), s.changed is not None) for t, s in WAREHOUSE.items())
+
+#: Loads of different tables that run at the same time.
+LOADS_AT_ONCE = 6
+
+
+def shaped(target: str, spec: IngestSpec, source: DataFrame) -> DataFrame:
+    """The columns of a warehouse table from the test table that feeds it."""
+    _, expressions, changed = source_columns(target, len(spec.columns))
+    picked = [F.expr(e).alias(c) for e, c in zip(expressions, spec.columns)]
+    return source.select(*picked, *([F.col(changed).alias(spec.changed)] if spec.changed else []))
+
+
+def change_times(source: DataFrame, changed: str, parts: int) -> list[Column]:
+    """Times that cut the span of the changes into equal parts."""
+    low, high = source.agg(F.unix_micros(F.min(changed).cast("timestamp")), F.unix_micros(F.max(changed).cast("timestamp"))).first()
+    low, high = low or 0, high or 0
+    return [F.timestamp_micros(F.lit(low + (high - low) * k // parts)).cast("timestamp_ntz") for k in range(1, parts)]
+
+
+def all_targets(spark, tables: dict[str, str]) -> DataFrame:
+    return reduce(
+        DataFrame.unionByName,
+        [spark.table(held).select(F.lit(t).alias("target"), F.col(WAREHOUSE[t].key).alias("key"), "src_fields_md5", "updatets") for t, held in tables.items()],
+    )
+
+
+@query("etl_seventeen_tables", SEVENTEEN_SQL)
 def etl_seventeen_tables(spark, sf_dir):
     # one function loads every table of the warehouse from its specification: two batches by change time, or a full refresh
-    loaded = []
-    for target, spec in WAREHOUSE.items():
-        name, expressions, changed = source_columns(target, len(spec.columns))
-        picked = [F.expr(e).alias(c) for e, c in zip(expressions, spec.columns)]
-        source = table(spark, sf_dir, name).select(*picked, *([F.col(changed).alias(spec.changed)] if spec.changed else []))
-        batches = [source]
+    sources = {name: table(spark, sf_dir, name) for name in ("orders", "events")}
+    middle = {name: change_times(source, changed, 2)[0] for (name, source), changed in zip(sources.items(), ("o_orderdate", "ts"))}
+    held = {target: target_table(spark, spec) for target, spec in WAREHOUSE.items()}
+
+    def load(target):
+        spec = WAREHOUSE[target]
+        name = source_columns(target, len(spec.columns))[0]
+        source = shaped(target, spec, sources[name])
         if spec.changed:
-            low, high = source.agg(F.unix_micros(F.min(spec.changed).cast("timestamp")), F.unix_micros(F.max(spec.changed).cast("timestamp"))).first()
-            middle = F.timestamp_micros(F.lit(((low or 0) + (high or 0)) // 2)).cast("timestamp_ntz")
-            batches.insert(0, source.filter(F.col(spec.changed) < middle))
-        held = target_table(spark, spec)
-        for batch in batches:
-            ingest(batch, held, spec, LOADED_AT)
-        loaded.append(spark.table(held).select(F.lit(target).alias("target"), F.col(spec.key).alias("key"), "src_fields_md5", "updatets"))
-    return reduce(DataFrame.unionByName, loaded)
+            ingest(source.filter(F.col(spec.changed) < middle[name]), held[target], spec, LOADED_AT)
+        ingest(source, held[target], spec, LOADED_AT)
+
+    with ThreadPoolExecutor(LOADS_AT_ONCE) as pool:
+        list(pool.map(load, WAREHOUSE))
+    return all_targets(spark, held)
+
+
+class Stopped(Exception):
+    """Ends a stream in the middle of a batch."""
+
+
+def fed_in_waves(spark, source: DataFrame, changed: str, feeds: list[Feed], waves: int = 3) -> None:
+    """The source arrives in waves; in the second, the stream fails with some tables written and is started again on the same checkpoint."""
+    folder, checkpoint = scratch_path(spark, "wave"), scratch_path(spark, "wave-checkpoint")
+    cuts = change_times(source, changed, waves)
+    time = F.col(changed)
+    wave_of = reduce(lambda found, cut: found + F.coalesce(time >= cut, F.lit(True)).cast("int"), cuts, F.lit(0))
+
+    def stop(batch):
+        raise Stopped
+
+    for k in range(waves):
+        source.filter(wave_of == k).write.mode("append").parquet(folder)
+        stream = parquet_files(spark, folder, source.schema)
+        if k == 1:
+            try:
+                drain(ingest_stream(stream, [*feeds[:3], Feed(feeds[3].target, feeds[3].spec, stop)], checkpoint, LOADED_AT))
+            except StreamingQueryException:
+                pass  # what the restart is for
+        drain(ingest_stream(stream, feeds, checkpoint, LOADED_AT))
+
+
+@query("etl_seventeen_tables_stream", SEVENTEEN_SQL)
+def etl_seventeen_tables_stream(spark, sf_dir):
+    held = {target: target_table(spark, spec) for target, spec in WAREHOUSE.items()}
+    for name, changed in (("orders", "o_orderdate"), ("events", "ts")):
+        fed = [t for t, spec in WAREHOUSE.items() if source_columns(t, len(spec.columns))[0] == name]
+        feeds = [Feed(held[t], WAREHOUSE[t], partial(shaped, t, WAREHOUSE[t])) for t in fed]
+        fed_in_waves(spark, table(spark, sf_dir, name), changed, feeds)
+    return all_targets(spark, held)

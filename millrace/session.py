@@ -67,10 +67,15 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        sc = spark.sparkContext
         for path in _scopes.pop():
-            folder = sc._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
+            remove_folder(spark, path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there, in whatever store it lies."""
+    sc = spark.sparkContext
+    folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def scratch_name(label: str) -> str:

@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: The table property that says that folders inside the table's own are read.
+NESTED = "millrace.nested"
+
 #: Rows that one bucket is asked to hold.
 ROWS_PER_BUCKET = 20_000_000
 
@@ -42,7 +45,11 @@ def save_bucketed(
 
 
 def create_table(spark: SparkSession, name: str, schema: str, path: str) -> None:
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet LOCATION '{path}'")
+    """A table that also reads the folders inside its own, where loads put their batches."""
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet OPTIONS (recursiveFileLookup 'true') "
+        f"LOCATION '{path}' TBLPROPERTIES ('{NESTED}' = 'true')"
+    )
 
 
 def append_by_name(df: DataFrame, name: str) -> None:
