@@ -8,6 +8,7 @@ from millrace.queries import (  # noqa: F401
     job_chain,
     jobs,
     model_queries,
+    ordered_queries,
     relational,
     scalars,
     sink_queries,
