@@ -14,5 +14,6 @@ from millrace.queries import (  # noqa: F401
     sink_queries,
     source_queries,
     stream_queries,
+    summary_queries,
     udf_queries,
 )
