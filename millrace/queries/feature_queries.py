@@ -29,6 +29,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from millrace.ml.nearest import nearest, nearest_words
 from millrace.ml.text import tf_idf
 from millrace.queries.aggregates import embedding_vectors
 from millrace.registry import query
@@ -296,9 +297,35 @@ def ml_tf_idf_hashed(spark, sf_dir):
     return unpacked(weighted, "weights", [f"w{i}" for i in range(20)], keys=["doc_id"])
 
 
-@query("ml_word2vec")
-def ml_word2vec(spark, sf_dir):
+def document_words(spark, sf_dir):
+    """The word vectors of all documents, and the words they come from."""
     # every word counts, so the vocabulary is the driver's model state; the number of partitions is part of the result and fixed
     words = tokenized(spark, sf_dir)
-    model = Word2Vec(vectorSize=3, minCount=0, seed=42, maxIter=1, numPartitions=4, inputCol="tokens", outputCol="v").fit(words)
+    return Word2Vec(vectorSize=3, minCount=0, seed=42, maxIter=1, numPartitions=4, inputCol="tokens", outputCol="v").fit(words), words
+
+
+@query("ml_word2vec")
+def ml_word2vec(spark, sf_dir):
+    model, words = document_words(spark, sf_dir)
     return unpacked(model.transform(words), "v", ["v0", "v1", "v2"], keys=["doc_id"])
+
+
+@query("ml_word2vec_nearest")
+def ml_word2vec_nearest(spark, sf_dir):
+    # the nearest 40 words of every word of the benchmark that the documents have
+    asked = table(spark, sf_dir, "benchmark").select(F.explode(F.split(F.lower("text"), r"\s+")).alias("word"))
+    return nearest_words(document_words(spark, sf_dir)[0], asked)
+
+
+NEAREST_SQL = """
+with v as (select vec_id, embedding::double[] as e, sqrt(list_dot_product(embedding::double[], embedding::double[])) as length from embeddings),
+pairs as (select a.vec_id as asked, b.vec_id as id, round(list_dot_product(list_transform(a.e, lambda x: x / a.length), list_transform(b.e, lambda x: x / b.length)), 9) as similarity
+          from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 20 = 0)
+select asked, rank::integer as rank, id from (select *, row_number() over (partition by asked order by similarity desc, id) as rank from pairs) where rank <= 40"""
+
+
+@query("ml_nearest_vectors", NEAREST_SQL)
+def ml_nearest_vectors(spark, sf_dir):
+    # the questions are every twentieth vector, the answers come from all
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return nearest(vectors, vectors.filter("id % 20 = 0"), 40).drop("similarity")

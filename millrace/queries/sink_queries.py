@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from millrace.operators.skew import salted_sides
 from millrace.registry import query
 from millrace.session import scratch_name, scratch_path, table
-from millrace.sinks.writers import append_by_name, bucket_count, create_table, save_bucketed, to_cells, truncate_load, upsert
+from millrace.sinks.writers import append_by_name, bucket_count, create_table, insert_values, save_bucketed, to_cells, truncate_load, upsert
+from millrace.sources import cells
+from millrace.sources.connectors import read_connector, write_connector
 
 CUT = "2000-01-01"
 ORDER_SCHEMA = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double"
@@ -104,11 +106,17 @@ def snk_insert_select(spark, sf_dir):
     return spark.table(name)
 
 
-@query("snk_insert_rows", "select o_orderkey, o_custkey, o_orderstatus, o_totalprice from orders")
+@query(
+    "snk_insert_rows",
+    """select o_orderkey, o_custkey, o_orderstatus, o_totalprice from orders
+       union all select -1 - n_nationkey, n_regionkey, 'X', n_nationkey::double / 4 from nation""",
+)
 def snk_insert_rows(spark, sf_dir):
-    # one distributed append in place of one INSERT per row; the rows that arrive are the same
+    # a few rows known to the driver go in by one INSERT with a list of VALUES, in named columns of any order; a whole table by one distributed append
     name = new_table(spark, "rows")
     append_by_name(order_rows(spark, sf_dir), name)
+    few = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey").collect()
+    insert_values(spark, name, ["o_orderstatus", "o_totalprice", "o_custkey", "o_orderkey"], [("X", r[0] / 4, r[1], -1 - r[0]) for r in few])
     return spark.table(name)
 
 
@@ -155,6 +163,37 @@ def snk_cell_put(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+CELLS_SQL = """
+select c_custkey::varchar as row, case q when 'c_name' then 'who' else 'what' end as family, q as qualifier,
+       case q when 'c_name' then c_name when 'c_nationkey' then c_nationkey::varchar else c_mktsegment end as value
+from customer, (values ('c_name'), ('c_nationkey'), ('c_mktsegment')) v(q)"""
+
+
+def stored_cells(spark, sf_dir):
+    """Customers as cells of two families, in a store that commits what all tasks wrote."""
+    cells.register(spark)
+    path = scratch_path(spark, "cell-store")
+    customers = table(spark, sf_dir, "customer")
+    who = to_cells(customers.select("c_custkey", "c_name"), "c_custkey", "who")
+    what = to_cells(customers.select("c_custkey", "c_nationkey", "c_mktsegment"), "c_custkey", "what")
+    for part in (who, what):
+        write_connector(part, "cells", {"path": path})
+    return path
+
+
+@query("snk_foreach_row", CELLS_SQL)
+def snk_foreach_row(spark, sf_dir):
+    # rows go to an external store task by task; a task that fails leaves nothing there
+    return read_connector(spark, "cells", {"path": stored_cells(spark, sf_dir)})
+
+
+@query("src_cell_store", CELLS_SQL.replace("select c_custkey::varchar", "select * from (select c_custkey::varchar") + ") where family = 'what' and qualifier = 'c_nationkey' and row >= '5'")
+def src_cell_store(spark, sf_dir):
+    # family and row skip files, the qualifier skips rows inside them
+    found = read_connector(spark, "cells", {"path": stored_cells(spark, sf_dir)})
+    return found.filter("family = 'what' and qualifier = 'c_nationkey' and row >= '5'")
+
+
 @query(
     "ddl_temp_view",
     "select n_regionkey, count(*) as n from nation join supplier on n_nationkey = s_nationkey group by 1",
@@ -177,7 +216,9 @@ def ddl_global_view(spark, sf_dir):
 
 @query("ddl_managed_table", "select o_orderkey as key, o_orderpriority as value from orders")
 def ddl_managed_table(spark, sf_dir):
-    name = new_table(spark, "src", "key bigint, value string")
+    # no LOCATION: the files are in the warehouse folder and go when the table is dropped
+    name = scratch_name("src")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (key BIGINT, value STRING) USING parquet")
     append_by_name(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_orderpriority").alias("value")), name)
     # a second definition of the same name changes nothing
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (key BIGINT, value STRING) USING parquet")

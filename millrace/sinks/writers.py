@@ -60,6 +60,16 @@ def append_by_name(df: DataFrame, name: str) -> None:
     df.select(*target).write.insertInto(name, overwrite=False)
 
 
+def insert_values(spark: SparkSession, name: str, columns: list[str], rows: list[tuple], rows_at_once: int = 1000) -> None:
+    """``INSERT INTO name (columns) VALUES ...`` for rows that the driver holds anyway; values are bound, never put into the text."""
+    kinds = dict(spark.table(name).dtypes)
+    for at in range(0, len(rows), rows_at_once):
+        part = rows[at : at + rows_at_once]
+        marks = ", ".join(f"({', '.join(f'CAST(:v{i}_{j} AS {kinds[c]})' for j, c in enumerate(columns))})" for i in range(len(part)))
+        values = {f"v{i}_{j}": v for i, row in enumerate(part) for j, v in enumerate(row)}
+        spark.sql(f"INSERT INTO {name} ({', '.join(f'`{c}`' for c in columns)}) VALUES {marks}", args=values)
+
+
 def table_location(spark: SparkSession, name: str) -> str:
     rows = spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Location'").select("data_type").collect()
     return rows[0][0]
