@@ -7,6 +7,7 @@ from millrace.queries import (  # noqa: F401
     iterative_queries,
     job_chain,
     jobs,
+    model_checks,
     model_queries,
     ordered_queries,
     relational,

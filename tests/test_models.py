@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-import millrace.queries  # noqa: F401
+from millrace.queries import model_checks
 from millrace.queries.feature_queries import ENGLISH_STOP_WORDS
 from millrace.queries.model_queries import dense_ids
 from millrace.registry import QUERIES
@@ -49,6 +49,16 @@ def test_tree_models_predict_known_names(spark, sf_dir, name):
     assert {r[0] for r in got.select("predictedName").distinct().collect()} <= known | {f"c{i}" for i in range(10)}
 
 
+SPOILT = [*model_checks.CLASSIFIERS, *model_checks.REGRESSORS, "ml_params", "ml_naive_bayes", "ml_text_classification", "ml_als", "ml_kmeans", "ml_pca"]
+
+
+@pytest.mark.parametrize("name", SPOILT)
+def test_properties_fail_on_spoilt_labels(spark, name):
+    """The green rows of these models can be red: with labels dealt at random (or a spoilt model) a property fails."""
+    row = QUERIES[f"{name}_holds"](spark, "/root/testdata/sf0.01", spoil=True).first()
+    assert row["n"] > 0 and not all(row.asDict().values())
+
+
 @pytest.mark.parametrize("name", ["ml_decision_tree_regressor", "ml_random_forest_regressor", "ml_gbt_regressor"])
 def test_regressors_stay_near_the_spread(spark, sf_dir, name):
     row = run(spark, sf_dir, name).first()
