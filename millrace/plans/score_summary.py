@@ -22,23 +22,24 @@ SCORE = "decimal(18,3)"
 
 
 def group_scores(scores: DataFrame, learn: DataFrame, windows: DataFrame, reports: DataFrame) -> DataFrame:
-    """(grp, id, name, score) of all five groups.
+    """(grp, id, name, score, mark) of all five groups.
 
     ``scores``: sheet, person, starttime, endtime, score. ``learn``: sheet, type.
-    ``windows``: person, status, start_dt, end_dt. ``reports``: report (JSON).
+    ``windows``: person, status, start_dt, end_dt. ``reports``: report (JSON). ``mark`` is every score as a number; ``score`` is the decimal of a
+    training score. Exam scores are numbers of a JSON report and stay as they are.
     """
-    score = F.col("score").cast(SCORE).alias("score")
+    score = [F.col("score").cast(SCORE).alias("score"), F.col("score").cast("double").alias("mark")]
     no_name = F.lit(None).cast("string").alias("name")
     label = F.create_map(*[F.lit(x) for pair in GROUP_OF_TYPE.items() for x in pair])
     trained = (
         scores.join(learn.filter(F.col("type").isin(*GROUP_OF_TYPE)), "sheet")
-        .select(label[F.col("type")].alias("grp"), F.col("person").alias("id"), no_name, score)
+        .select(label[F.col("type")].alias("grp"), F.col("person").alias("id"), no_name, *score)
     )
     after_class = contained_in(
         scores.select("person", "starttime", "endtime", "score"),
         windows.filter(F.col("status") == 1).select("person", "start_dt", "end_dt"),
-    ).select(F.lit(AFTER_CLASS).alias("grp"), F.col("person").alias("id"), no_name, score)
-    exams = ranking_rows(reports).select(F.lit(EXAM).alias("grp"), F.lit(None).cast("bigint").alias("id"), "name", score)
+    ).select(F.lit(AFTER_CLASS).alias("grp"), F.col("person").alias("id"), no_name, *score)
+    exams = ranking_rows(reports).select(F.lit(EXAM).alias("grp"), F.lit(None).cast("bigint").alias("id"), "name", F.lit(None).cast(SCORE).alias("score"), F.col("score").alias("mark"))
     return trained.unionByName(after_class).unionByName(exams)
 
 
@@ -48,17 +49,15 @@ def _or_zero(value: Column) -> Column:
 
 def score_metrics(rows: DataFrame) -> DataFrame:
     """(grp, max, min, avg) as doubles; a group without scores shows zeros."""
+    # decimals add up exactly; exam scores are averaged as the numbers they are
     total, n = F.sum("score"), F.count("score")
-    return rows.groupBy("grp").agg(
-        _or_zero(F.max("score").cast("double")).alias("max"),
-        _or_zero(F.min("score").cast("double")).alias("min"),
-        _or_zero(F.try_divide(total.cast("double"), n.cast("double"))).alias("avg"),
-    )
+    mean = F.coalesce(F.try_divide(total.cast("double"), n.cast("double")), F.avg("mark"))
+    return rows.groupBy("grp").agg(_or_zero(F.max("mark")).alias("max"), _or_zero(F.min("mark")).alias("min"), _or_zero(mean).alias("avg"))
 
 
 def leaderboard(rows: DataFrame, k: int = 5) -> DataFrame:
     """Best ``k`` attempts per group (a person may appear twice); ties fall to the smaller id, then name."""
-    order = [F.col("score").desc_nulls_last(), F.col("id").asc_nulls_last(), F.col("name").asc_nulls_last()]
+    order = [F.col("mark").desc_nulls_last(), F.col("id").asc_nulls_last(), F.col("name").asc_nulls_last()]
     # five known groups: a bounded heap per task and group, where a window would sort all rows
     best = [top_k(rows.filter(F.col("grp") == grp), k, *order) for grp in GROUPS]
     return top_k_per_group(reduce(DataFrame.unionByName, best), "grp", k, *order)
@@ -73,7 +72,7 @@ def score_summary(scores: DataFrame, learn: DataFrame, windows: DataFrame, repor
     ranks = leaderboard(rows).select(
         "grp",
         F.concat(F.lit("rank"), F.col("rank").cast("string")).alias("metric"),
-        F.col("score").cast("double").alias("value"),
+        F.col("mark").alias("value"),
         F.coalesce(F.col("name"), F.col("id").cast("string")).alias("who"),
     )
     return metrics.unionByName(ranks)

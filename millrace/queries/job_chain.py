@@ -12,7 +12,7 @@ from millrace.plans.progress_curve import progress_curve, progress_curve_stored
 from millrace.plans.score_summary import score_summary, score_summary_json
 from millrace.queries import roles
 from millrace.queries.ingest_queries import LOADED_AT, target_table
-from millrace.queries.jobs import job_progress_curve_stored, job_score_summary_stored
+from millrace.queries.jobs import comparable, job_progress_curve_stored, job_score_summary_stored
 from millrace.registry import ORACLES, query
 from millrace.session import scratch_name, scratch_path
 from millrace.sinks.writers import create_table, truncate_load
@@ -100,4 +100,4 @@ def job_score_summary_chain(spark, sf_dir):
     control = loaded_tables(spark, sf_dir, ["ets_score", "ets_learn", "ets_apply_student", "ets_osce_das_admin_report"])
     reports = typed(spark, control, "ets_osce_das_admin_report", {"event_id": ("adminid", "bigint"), "report": ("report", "string")})
     summary = score_summary(warehouse_scores(spark, control), warehouse_learn(spark, control), warehouse_windows(spark, control), reports)
-    return result_table(spark, score_summary_json(summary, F.lit(LOADED_AT)), keep_if_empty=False)
+    return result_table(spark, score_summary_json(comparable(summary), F.lit(LOADED_AT)), keep_if_empty=False)

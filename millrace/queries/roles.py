@@ -58,7 +58,7 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     def entry(ranking: int, score, suffix: str):
         return F.struct(F.lit(ranking).alias("ranking"), score.alias("score"), F.concat(name, F.lit(suffix)).alias("name"))
 
-    ranking = F.array(entry(1, F.col("value"), "a"), entry(2, F.col("value") / 2, "b"))
+    ranking = F.array(entry(1, F.col("value"), "a"), entry(2, F.col("value") / 8, "b"))
     stations = F.array_repeat(F.lit("station"), k % 4)
     body = F.struct(ranking.alias("rankinglist"), F.struct(stations.alias("stationarray")).alias("analysis"))
     return events.select("event_id", to_json_text(body).alias("report"))
@@ -80,7 +80,7 @@ exam_scores as (
 rankings as (
   select value as score, event_type || '-' || event_id || 'a' as name from events
   union all
-  select value / 2, event_type || '-' || event_id || 'b' from events),
+  select value / 8, event_type || '-' || event_id || 'b' from events),
 after_class as (
   select s.person, s.score from scores s join windows w on s.person = w.person
   where w.status = 1 and s.starttime >= w.start_dt and s.endtime <= w.end_dt)
