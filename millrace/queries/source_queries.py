@@ -13,7 +13,7 @@ from millrace.registry import query
 from millrace.session import scratch_path, table
 from millrace.sources.catalog import active_table, catalog_map
 from millrace.sources.connectors import read_connector
-from millrace.sources.files import labelled_lines, rating_lines, read_ctrl_a, read_delimited, vector_lines
+from millrace.sources.files import indexed_lines, labelled_lines, rating_lines, read_ctrl_a, read_delimited, vector_lines
 
 
 def written(df, fmt, label, **options):
@@ -169,6 +169,36 @@ def src_labeled_lines(spark, sf_dir):
     return points.groupBy("label").agg(F.count(F.lit(1)).alias("n"), total(1), total(2))
 
 
+LABELLED_SQL = """
+select label, count(*) as n, sum(cast(f1 as decimal(18,2)))::double as f1, sum(cast(f2 as decimal(18,2)))::double as f2 from
+  (select case when l_returnflag = 'R' then 1.0::double else {other}::double end as label, l_quantity as f1, l_extendedprice as f2 from lineitem) group by label"""
+
+
+def labelled_text(spark, sf_dir, first, sep, indexed=False):
+    """Lines of a label, a sign, and two numbers (with their places, if ``indexed``)."""
+    values = [F.col(c).cast("string") for c in ("l_quantity", "l_extendedprice")]
+    if indexed:
+        values = [F.concat(F.lit(f"{i}:"), v) for i, v in zip((1, 7), values)]
+    label = F.when(F.col("l_returnflag") == "R", "1").otherwise(first)
+    return as_lines(table(spark, sf_dir, "lineitem"), F.concat(label, F.lit(sep), F.concat_ws(" ", *values)), "labelled")
+
+
+@query("src_labeled_lines_comma", LABELLED_SQL.format(other="0.0"))
+def src_labeled_lines_comma(spark, sf_dir):
+    # label,f1 f2
+    points = labelled_lines(spark.read.text(labelled_text(spark, sf_dir, "0", ",")))
+    total = lambda i: F.sum(F.element_at("values", i).cast("decimal(18,2)")).cast("double").alias(f"f{i}")
+    return points.groupBy("label").agg(F.count(F.lit(1)).alias("n"), total(1), total(2))
+
+
+@query("src_labeled_lines_indexed", LABELLED_SQL.format(other="-1.0"))
+def src_labeled_lines_indexed(spark, sf_dir):
+    # label idx:val idx:val; places without a value are not stored
+    points = indexed_lines(spark.read.text(labelled_text(spark, sf_dir, "-1", " ", indexed=True)))
+    total = lambda i, name: F.sum(F.element_at("values", F.lit(i)).cast("decimal(18,2)")).cast("double").alias(name)
+    return points.groupBy("label").agg(F.count(F.lit(1)).alias("n"), total(1, "f1"), total(7, "f2"))
+
+
 @query(
     "src_ratings",
     'select o_custkey as "user", l_partkey as item, l_quantity - 2.5::double as rating from lineitem join orders on l_orderkey = o_orderkey',
