@@ -25,8 +25,8 @@ from millrace.session import cut_lineage
 DOCS_PER_LABEL = 2000
 #: One document in so many of the sample serves the calibration alone.
 CALIBRATION = 5
-#: Words of the rest that the field itself is trained on, and rounds of training.
-FIT_WORDS, ROUNDS = 600_000, 120
+#: Words of the rest, for each label, that the field itself is trained on, and rounds of training.
+WORDS_PER_LABEL, ROUNDS = 300_000, 120
 #: Most features, the strongest first; a bound on the size of the model.
 MAX_FEATURES = 4096
 #: Bytes of the word beginnings that can be features.
@@ -192,12 +192,39 @@ def calibrate(x: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[f
     return max(0.0, float(point[0])), float(point[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_label: int = DOCS_PER_LABEL) -> Field:
+def within(sizes: np.ndarray, labels: np.ndarray, bound: int) -> np.ndarray:
+    """Which texts to train on: of each label, in order, all whose words fit what is left of its ``bound``; one text at least, the shortest if none fits."""
+    use = np.zeros(len(sizes), bool)
+    for label in set(labels.tolist()):
+        own, left = np.flatnonzero(labels == label), bound
+        for k in own:
+            if sizes[k] <= left:
+                use[k] = True
+                left -= int(sizes[k])
+        if not use[own].any():
+            use[own[sizes[own].argmin()]] = True
+    return use
+
+
+def fit(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "toxic",
+    per_label: int = DOCS_PER_LABEL,
+    words_per_label: int = WORDS_PER_LABEL,
+    max_features: int = MAX_FEATURES,
+) -> Field:
     """Learn from the documents that ``labels`` (id, 0 or 1) marks; pass only labels that may be learned from.
 
+    Features are sought in a sample of about ``per_label`` documents of each label, the strongest ``max_features`` are kept. Of the sample, documents of each label
+    with at most ``words_per_label`` words together train the field; one that is longer than what is left is passed over, so no long text takes the place of the others.
     A document with several labels is toxic if one says so; labels other than 0 and 1 and null ids count for nothing. With labels of one kind only, or without
     features that pass the test, the field has no feature and every score is the share of toxic labels.
     """
+    if not 0 < max_features <= 1 << 16:
+        raise ValueError("a feature's number has 16 bits")
     marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).filter("id is not null and toxic in (0, 1)")
     marks = marks.groupBy("id").agg(F.max("toxic").alias("toxic"))
     counts = {r["toxic"]: r["n"] for r in marks.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -251,7 +278,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     p, f = toxic / total, F.col("t") / F.col("n")
     bits = F.col("n") * (f * F.log(f / p) + F.when(f < 1, (1 - f) * F.log((1 - f) / (1 - p))).otherwise(0.0))
     strong = tallies.filter("t > 0").withColumn("bits", bits).filter((f >= PURITY) & (f > p) & (F.col("bits") >= F.lit(bar)))
-    chosen = [r["feature"] for r in strong.orderBy(F.desc("bits"), "feature").limit(MAX_FEATURES).collect()]
+    chosen = [r["feature"] for r in strong.orderBy(F.desc("bits"), "feature").limit(max_features).collect()]
     hashes = np.sort(np.array(chosen, np.int64).view(np.uint64))
     if not len(hashes):
         return empty
@@ -277,9 +304,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     cuts = np.concatenate(([0], np.cumsum(sizes)))
     hits = np.array([h + (int(cuts[i]) << 16) for i, r in enumerate(rows) for h in r["hits"]], np.int64)
     words, found = hits >> 16, hits & 0xFFFF
-    learned = min(int((~kept).sum()), 1 + int(np.searchsorted(cuts[1:], FIT_WORDS)))
-    use = words < cuts[learned]
-    field = train(hashes, words[use], found[use], cuts[: learned + 1], marked[:learned])
+    learned = np.flatnonzero(~kept)
+    learned = learned[within(sizes[learned], marked[learned], words_per_label)]
+    # the words of these texts, numbered anew one text after the other
+    own = np.full(len(sizes), -1)
+    own[learned] = np.arange(len(learned))
+    text = np.searchsorted(cuts, words, "right") - 1
+    use = own[text] >= 0
+    own_cuts = np.concatenate(([0], np.cumsum(sizes[learned])))
+    field = train(hashes, own_cuts[own[text[use]]] + words[use] - cuts[text[use]], found[use], own_cuts, marked[learned])
     odds, _ = log_odds(field, words, found, int(cuts[-1]), cuts)
     p = chain(odds, cuts, field.steps)[2] if len(odds) else odds
     # each label weighs as in the whole table
