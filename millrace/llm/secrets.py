@@ -31,13 +31,14 @@ FORMATS = {
     "google": r"AIza[0-9A-Za-z_-]{35}",
     "stripe": r"[sr]k_live_[A-Za-z0-9]{16,}",
     "jwt": r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{5,}",
-    "pem": r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----",
+    # the whole block up to its end; without one, the lines of key text behind its head
+    "pem": r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----(?:(?:[^-]*+-(?!----)){0,8}[^-]*+-----END [A-Z ]{0,20}PRIVATE KEY-----|(?:\s++[A-Za-z0-9+/=]{16,}+){0,200}+)",
 }
 _FORMAT = "|".join(FORMATS.values())
 _BODY = "A-Za-z0-9+/_.-"
 #: Anything else of 16 or more token characters with a digit among them, up to a known format; never a name with the = behind it, so that the name stands before the value.
 GENERIC = rf"(?<![{_BODY}])(?=[A-Za-z+/_.-]*+[0-9])(?:(?!{_FORMAT})[{_BODY}]){{16,}}+(?!=+[{_BODY}])=*+"
-_NAME = r"(?i:token|secret|passw(?:or)?d|passphrase|pwd|api[ _-]?key|access[ _-]?key|auth|bearer|private|credential|signature)(?:s|[_-][A-Za-z0-9_-]{0,20}|[A-Z][A-Za-z0-9]{0,20}(?<!OR)|[0-9]{1,3})?"
+_NAME = r"(?i:token|secret|passw(?:or)?d|passphrase|pwd|api[ _-]?key|access[ _-]?key|auth|bearer|private|credential|signature)(?:s|[_-][A-Za-z0-9_-]{0,60}|[A-Z][A-Za-z0-9]{0,60}(?<!OR)|[0-9]{1,3})?"
 _TO = r"[\"'`]?\s{0,3}(?:=>?|:=?)"
 _BARE = r"(?:[^\s\"'`,;&<>()\[\]{}]|&(?![\w.%-]+=))"
 #: Six or more printable characters assigned to a credential name: all between quotes; without quotes up to a blank or separator, behind a blank only with a digit, as
@@ -78,7 +79,8 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per candidate: id, text_hash, path, ``start`` and ``n_chars`` in code points, ``value``, ``before`` and ``after``.
 
     Candidates are known formats anywhere, six or more printable characters assigned to a credential name (without quotes and behind a blank: with a digit among them),
-    and elsewhere 16 or more token characters with a digit among them.
+    and elsewhere 16 or more token characters with a digit among them. A name may go on for 60 characters behind its credential word, as a look behind needs an end. A
+    private key is one candidate from its head to its end; where the end is missing, with up to 200 lines of key text.
     """
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col else F.lit("")
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), path.alias("path"), F.col(text_col).alias("text"))
@@ -134,7 +136,8 @@ def described(found: DataFrame) -> DataFrame:
         "path_config": flag(path.rlike(r"\.(env|ini|cfg|conf|ya?ml|json|properties|toml|sh)$|config|secret|credential")),
         "credential_before": flag(before.rlike(CREDENTIAL)),
         "plain_before": flag(before.rlike(PLAIN)),
-        "dummy_near": flag(F.concat_ws(" ", before, low, after).rlike(DUMMY)),
+        # a long key may spell such a word by chance
+        "dummy_near": flag(F.concat_ws(" ", before, F.when(F.col("kind") == "pem", "").otherwise(low), after).rlike(DUMMY)),
         "assigned": flag(before.rlike(r"(?:=>?|:=?)\s*[\"'`]?$")),
         "quoted": flag(before.rlike("[\"'`]$") & after.rlike("^[\"'`]")),
         "word_beside": flag(before.rlike(r"\p{L}\s$") & after.rlike(r"^[\s,.]+\p{L}")),
