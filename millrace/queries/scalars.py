@@ -116,7 +116,7 @@ def fn_json_get(spark, sf_dir):
 @query(
     "fn_json_explode",
     """select 1 as ranking, value as score, event_type || '-' || event_id || 'a' as name from events
-       union all select 2, value / 2, event_type || '-' || event_id || 'b' from events""",
+       union all select 2, value / 8, event_type || '-' || event_id || 'b' from events""",
 )
 def fn_json_explode(spark, sf_dir):
     return ranking_rows(roles.reports(spark, sf_dir))
