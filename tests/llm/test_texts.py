@@ -315,6 +315,25 @@ def test_every_item_is_searched(spark, set_rows, any_case):
     assert {g[:3] for g in got} == {(i, i, True) for i in (1, 2, 3, 6)} and all(g[3] == 1.0 for g in got if g[1] in (1, 3))
 
 
+def test_windows_at_the_ends_of_texts_and_blocks(spark):
+    words = PASSAGE.split()
+    texts = [" ".join(words[k:]) for k in range(len(words))] + [" ".join(words[:k]) for k in range(1, len(words))]
+    # the passage at every place around the border of a block, and once at the end of a long text
+    filler = [f"w{'abcdefghij'[i % 10]}{'abcdefghij'[i // 10 % 10]}x" for i in range(600)]
+    texts += [" ".join([*filler[:k], *words, *filler]) for k in range(templates.BLOCK - 30, templates.BLOCK + 12, 3)]
+    texts += [" ".join([*filler * 200, *words])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame([(1, PASSAGE), (2, "far too short")], "item_id long, text string")
+    keys = ["doc_id", "item_id", "windows", "share", "exact"]
+    got, joined = (
+        sorted(tuple(r[k] for k in keys) for r in templates.contaminations(docs, items, set_rows=rows, any_case=True).collect()) for rows in (100_000, 0)
+    )
+    assert got == joined
+    whole = len(words) - templates.WINDOW + 1
+    want = {i: (" " + t + " ").count(PASSAGE) for i, t in enumerate(texts)}
+    assert {g[0] for g in got if g[2] == whole} == {i for i, n in want.items() if n} and {g[0] for g in got} >= {0, 1, 5, len(texts) - 1}
+
+
 def test_leaks_same_as_brute_force(spark):
     docs, items = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
     plain = lambda t: [w for w in ("".join(c for c in w if c.isalnum()) for w in (t or "").split()) if w]
