@@ -17,8 +17,8 @@ BUCKETS = 1 << 15
 DOCS_PER_LANGUAGE = 20_000
 SMOOTHING = 0.5
 UNDETERMINED = "und"
-#: Bytes of text whose n-grams are held at once (about a hundred bytes each), and rows that go out together.
-PASS_BYTES, ROWS = 1 << 19, 1000
+#: Bytes of text whose n-grams are held at once (over a hundred bytes each), of long texts piece by piece, and rows that go out together.
+PASS_BYTES, ROWS = 1 << 17, 1000
 
 #: Code points below 0xC0 that are letters; from there on only the blocks below are not.
 _LOW_LETTERS = np.zeros(0xC0, bool)
@@ -54,13 +54,57 @@ def letters(codes: np.ndarray) -> np.ndarray:
     return out
 
 
+def hashed_pairs(line: np.ndarray) -> np.ndarray:
+    return mix(line[:-1] << np.uint64(21) | line[1:]) % np.uint64(BUCKETS)
+
+
+def hashed_triples(line: np.ndarray) -> np.ndarray:
+    return mix(line[:-2] << np.uint64(42) | line[1:-1] << np.uint64(21) | line[2:] | np.uint64(1 << 63)) % np.uint64(BUCKETS)
+
+
+def long_ngrams(data: np.ndarray, limit: int) -> Iterator[np.ndarray]:
+    """The buckets of one text, by pieces of about ``limit`` bytes; what a piece needs of the one before is carried over."""
+    blank = (np.zeros(1, np.uint64), np.zeros(1, bool))
+    # code points not yet decided on, whether a letter stood before them, and the last two that were kept
+    (open_line, open_solid), before = blank, False
+    line, solid = np.zeros(0, np.uint64), np.zeros(0, bool)
+    lo = 0
+    while lo < len(data):
+        hi = min(lo + limit, len(data))
+        while hi < len(data) and data[hi] & 0xC0 == 0x80:
+            hi += 1
+        codes, _ = code_points(data[lo:hi], np.array([0, hi - lo]))
+        letter = letters(codes)
+        new = [(open_line, open_solid), (np.where(letter, codes, 0).astype(np.uint64), letter)] + ([blank] if hi == len(data) else [])
+        raw, sure = (np.concatenate(part) for part in zip(*new, strict=True))
+        # the last one waits for what stands behind it
+        done = len(raw) if hi == len(data) else len(raw) - 1
+        led = np.concatenate(([before], sure[:-1]))
+        follows = np.concatenate((sure[1:], [False]))
+        kept = np.flatnonzero((sure | led | follows)[:done])
+        before = bool(sure[done - 1]) if done else before
+        open_line, open_solid = raw[done:], sure[done:]
+        carried = len(line)
+        line, solid = np.concatenate((line, raw[kept])), np.concatenate((solid, sure[kept]))
+        two = hashed_pairs(line)[max(carried - 1, 0) :][(solid[:-1] | solid[1:])[max(carried - 1, 0) :]]
+        three = np.zeros(0, np.uint64)
+        if len(line) > 2:
+            three = hashed_triples(line)[max(carried - 2, 0) :][(solid[:-2] | solid[1:-1] | solid[2:])[max(carried - 2, 0) :]]
+        yield np.concatenate((two, three)).astype(np.int64)
+        line, solid = line[-2:], solid[-2:]
+        lo = hi
+
+
 def ngrams(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, buckets, bounds of the texts in them), by passes over the lower-cased texts.
 
     What is no letter parts words; a word is seen between two blanks, and every n-gram holds a letter. The bucket lists with
-    their bounds are the sparse count matrix of the pass.
+    their bounds are the sparse count matrix of the pass. A text longer than a pass comes in several, one for each piece.
     """
     for lo, hi, data, bounds in passes(pc.utf8_lower(texts.cast(pa.large_string())), PASS_BYTES):
+        if len(data) > PASS_BYTES and hi == lo + 1:
+            yield from ((lo, hi, grams, np.array([0, len(grams)])) for grams in long_ngrams(data, PASS_BYTES))
+            continue
         codes, cuts = code_points(data, bounds)
         docs = group_ids(cuts)
         letter = letters(codes)
@@ -78,8 +122,7 @@ def ngrams(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
             yield lo, hi, np.zeros(0, np.int64), np.zeros(hi - lo + 1, np.int64)
             continue
         same = owner[1:] == owner[:-1]
-        two = mix(line[:-1] << np.uint64(21) | line[1:]) % np.uint64(BUCKETS)
-        three = mix(line[:-2] << np.uint64(42) | line[1:-1] << np.uint64(21) | line[2:] | np.uint64(1 << 63)) % np.uint64(BUCKETS)
+        two, three = hashed_pairs(line), hashed_triples(line)
         ok_two = same & (solid[:-1] | solid[1:])
         ok_three = same[:-1] & same[1:] & (solid[:-2] | solid[1:-1] | solid[2:])
         grams = np.concatenate((two[ok_two], three[ok_three])).astype(np.int64)
@@ -99,17 +142,14 @@ def held_out(id_col: str) -> Column:
 
 def posterior(priors: np.ndarray, matrix: np.ndarray, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Most probable language of each text (by number, ties to the first) and its posterior probability."""
-    best, sure = np.zeros(len(texts), np.int64), np.zeros(len(texts))
-    for lo, hi, grams, bounds in ngrams(texts):
-        sums = np.tile(priors, (hi - lo, 1))
+    sums = np.tile(priors, (len(texts), 1))
+    for lo, _, grams, bounds in ngrams(texts):
         full = np.flatnonzero(np.diff(bounds))
         if len(full):
-            sums[full] += np.add.reduceat(matrix[grams], bounds[full], axis=0)
-        sums -= sums.max(axis=1, keepdims=True)
-        weights = np.exp(sums)
-        best[lo:hi] = weights.argmax(axis=1)
-        sure[lo:hi] = 1 / weights.sum(axis=1)
-    return best, sure
+            sums[lo + full] += np.add.reduceat(matrix[grams], bounds[full], axis=0)
+    sums -= sums.max(axis=1, keepdims=True)
+    weights = np.exp(sums)
+    return weights.argmax(axis=1), 1 / weights.sum(axis=1)
 
 
 class LanguageModel:
@@ -167,6 +207,7 @@ class LanguageModel:
         """``docs`` with ``pred_col`` and ``score_col`` (0 to 1) in place of columns of these names.
 
         A null text, a text without a letter and every text of a model without languages is ``und`` with score 0. Rows are kept one for one.
+        A very long text costs its own bytes and a lower-cased copy; its n-grams are counted piece by piece.
         """
         docs = docs.drop(pred_col, score_col)
         names, model = docs.columns, docs.sparkSession.sparkContext.broadcast((self.languages, self.priors, self.matrix))

@@ -253,6 +253,18 @@ def test_forest_learns_given_labels(spark):
     assert all((scores[i] >= 0.5) == (i % 2 == 0) for i in range(40))
 
 
+def test_long_texts_give_the_same_ngrams_piece_by_piece(monkeypatch):
+    texts = ["ab  c\u00e9.,d\n\u4f60\u30ab\U0001f600\u042f1-_\u00df " * 9, " . a", "a", "ab", "...", "a" * 50 + " " * 50 + "b"]
+
+    def counted(text, limit):
+        monkeypatch.setattr(langid, "PASS_BYTES", limit)
+        return sorted(g for _, _, grams, _ in langid.ngrams(pa.array([text], pa.string())) for g in grams.tolist())
+
+    for text in texts:
+        whole = counted(text, 1 << 20)
+        assert all(counted(text, limit) == whole for limit in (1, 2, 3, 7, 32))
+
+
 ITEM = "Tom has 5 apples and gives 3 of them to Anna in 7 days"
 LEAKS = [
     (1, f"so {ITEM} ok", True), (2, "so Bob has 9 apples and gives 2 of them to Lisa in 4 hours ok", False),
