@@ -5,11 +5,12 @@ import os
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.feature import Word2Vec
 from pyspark.sql import functions as F
 
-from millrace.ml.nearest import nearest, nearest_words, word_vectors
+from millrace.ml.nearest import _first, nearest, nearest_words, word_vectors
 from millrace.session import scratch_name, scratch_path
 from millrace.sinks.writers import create_table, insert_values
 from millrace.sources import cells
@@ -130,6 +131,15 @@ def test_nearest_words_as_the_model_says(spark):
         assert set(ours[:10]) == {r["word"] for r in model.findSynonyms(word, 10).collect()}
 
 
+def test_words_are_handed_out_once_and_few_candidates_are_kept(spark):
+    lines = [([f"w{k % 30}" for k in range(90)],)]
+    model = Word2Vec(vectorSize=3, minCount=0, seed=1, maxIter=1, inputCol="t", outputCol="v").fit(spark.createDataFrame(lines, "t array<string>"))
+    found = nearest_words(model, spark.createDataFrame([("w1",)], "word string"))
+    assert "Local" not in found._jdf.queryExecution().optimizedPlan().toString()
+    entries = pa.table({"question": [1, 0, 1, 0, 1, 0], "similarity": [0.5, 0.1, 0.5, 0.2, 0.4, 0.2], "id": ["b", "c", "a", "z", "d", "y"]})
+    assert _first(entries, 2).to_pylist() == [{"question": q, "similarity": s, "id": i} for q, s, i in [(0, 0.2, "y"), (0, 0.2, "z"), (1, 0.5, "a"), (1, 0.5, "b")]]
+
+
 def test_values_are_bound(spark):
     name = scratch_name("values")
     create_table(spark, name, "a int, b string, c double", scratch_path(spark, "values"))
