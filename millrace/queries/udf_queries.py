@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
@@ -10,13 +12,15 @@ from pyspark.sql import functions as F
 from millrace.registry import query
 from millrace.session import table
 
+ACCENTS = re.compile(r"[\u0300-\u036f]")
+
 
 @query("udf_row_map", "select doc_id, md5(strip_accents(text)) as digest from documents")
 def udf_row_map(spark, sf_dir):
-    # no built-in function takes letters apart from their accents
-    @F.pandas_udf("string")
-    def without_accents(text: pd.Series) -> pd.Series:
-        return text.str.normalize("NFD").str.replace(r"[\u0300-\u036f]", "", regex=True)
+    # no built-in function takes letters apart from their accents; texts come row by row, as an Arrow batch would hold thousands of whole texts, several times over
+    @F.udf("string", useArrow=False)
+    def without_accents(text: str | None) -> str | None:
+        return text if text is None or text.isascii() else ACCENTS.sub("", unicodedata.normalize("NFD", text))
 
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(without_accents("text")).alias("digest"))
 

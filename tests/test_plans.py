@@ -1,5 +1,7 @@
 """The plans that matter at scale."""
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,3 +104,12 @@ def test_terms_are_tokenized_once(spark, sf_dir):
     """The weights read the written counts; neither texts nor tokens are touched again."""
     text = plan(QUERIES["ml_tf_idf"](spark, sf_dir))
     assert "documents.parquet" not in text and "UDF" not in text and text.count("terms-") >= 1
+
+
+def test_whole_texts_come_to_python_row_by_row(spark, tmp_path):
+    rows = [(1, "Crème brûlée"), (2, "plain"), (3, None), (4, ""), (5, "Zürich")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["udf_row_map"](spark, str(tmp_path))
+    assert "ArrowEvalPython" not in plan(found)
+    want = {1: "Creme brulee", 2: "plain", 3: None, 4: "", 5: "Zurich"}
+    assert dict(found.collect()) == {k: None if v is None else hashlib.md5(v.encode()).hexdigest() for k, v in want.items()}
