@@ -315,6 +315,28 @@ def ml_als(spark, sf_dir):
     return regression_metrics(model.transform(known), "rating")
 
 
+#: Transactions of one task of the frequent item sets, about 200 bytes each while they are kept.
+TRANSACTIONS_PER_TASK = 500_000
+
+
+def transactions(lines, per_task=TRANSACTIONS_PER_TASK):
+    def tag(name, value):
+        return F.concat(F.lit(f"{name}="), value.cast("string"))
+
+    # a transaction is one row's own attributes, so no group is collected; the fit keeps the transactions of a task as objects, hence parts of bounded length
+    parts = max(lines.sparkSession.sparkContext.defaultParallelism, -(-lines.count() // per_task))
+    taken = lines.select("l_returnflag", "l_linestatus", *[(F.col(c) > least).alias(c) for c, least in (("l_tax", 0), ("l_discount", 0), ("l_quantity", 25))])
+    return taken.repartition(parts).select(
+        F.array(
+            tag("flag", F.col("l_returnflag")),
+            tag("status", F.col("l_linestatus")),
+            tag("taxed", F.col("l_tax")),
+            tag("cut", F.col("l_discount")),
+            tag("big", F.col("l_quantity")),
+        ).alias("items")
+    )
+
+
 ITEM_SQL = """items as (
   select id, unnest(['flag=' || l_returnflag, 'status=' || l_linestatus, 'taxed=' || (l_tax > 0), 'cut=' || (l_discount > 0),
                      'big=' || (l_quantity > 25)]) as item
@@ -329,20 +351,7 @@ ITEM_SQL = """items as (
         select items, size, count(*) as freq from subsets group by 1, 2 having count(*) >= (select count(*) * 0.2 from lineitem)""",
 )
 def ml_fpgrowth(spark, sf_dir):
-    def tag(name, value):
-        return F.concat(F.lit(f"{name}="), value.cast("string"))
-
-    # a transaction is one row's own attributes, so no group is collected
-    rows = table(spark, sf_dir, "lineitem").select(
-        F.array(
-            tag("flag", F.col("l_returnflag")),
-            tag("status", F.col("l_linestatus")),
-            tag("taxed", F.col("l_tax") > 0),
-            tag("cut", F.col("l_discount") > 0),
-            tag("big", F.col("l_quantity") > 25),
-        ).alias("items")
-    )
-    found = FPGrowth(minSupport=0.2, minConfidence=0.5, itemsCol="items").fit(rows).freqItemsets
+    found = FPGrowth(minSupport=0.2, minConfidence=0.5, itemsCol="items").fit(transactions(table(spark, sf_dir, "lineitem"))).freqItemsets
     return found.select(F.array_join(F.array_sort("items"), "|").alias("items"), F.size("items").alias("size"), "freq")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from millrace.queries import model_checks
 from millrace.queries.feature_queries import ENGLISH_STOP_WORDS
-from millrace.queries.model_queries import dense_ids
+from millrace.queries.model_queries import dense_ids, transactions
 from millrace.registry import QUERIES
 from millrace.session import table
 
@@ -123,3 +123,9 @@ def test_params_are_overridden(spark):
     model = lr.fit(train, {lr.maxIter: 30, lr.regParam: 0.1, lr.probabilityCol: "myProbability"})
     got = model.transform(test).select("label", "prediction", vector_to_array("myProbability").alias("p")).collect()
     assert all(r["label"] == r["prediction"] for r in got)
+
+
+def test_transactions_of_a_task_are_bounded(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    sizes = transactions(lines, 100).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in sizes) == lines.count() and max(r["count"] for r in sizes) <= 200
