@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.fingerprint import python_text, row_md5
 from millrace.ingest.specs import IngestSpec
-from millrace.session import remove_folder
+from millrace.session import PACKED, remove_folder
 from millrace.sinks.writers import NESTED, table_location, truncate_load
 
 #: Table properties: the latest change time loaded, and the number of loads that are done.
@@ -96,7 +96,7 @@ def write_batch(rows: DataFrame, target: str, folder: str) -> DataFrame:
     """Write the rows once, into their place in the table; what is read back is the batch alone."""
     spark = rows.sparkSession
     schema = spark.table(target).schema
-    rows.select(*schema.names).write.mode("overwrite").parquet(folder)
+    rows.select(*schema.names).write.mode("overwrite").option("compression", PACKED).parquet(folder)
     spark.catalog.refreshTable(target)
     return spark.read.schema(schema).parquet(folder)
 

@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.session import PACKED
+
 
 #: The table property that says that folders inside the table's own are read.
 NESTED = "millrace.nested"
@@ -84,7 +86,7 @@ def truncate_load(df: DataFrame, name: str, keep_if_empty: bool = False) -> int:
     spark = df.sparkSession
     folder = f"{table_location(spark, name).rstrip('/')}-{uuid.uuid4().hex}"
     target = spark.table(name)
-    df.select(*target.columns).write.format("parquet").save(folder)
+    df.select(*target.columns).write.format("parquet").option("compression", PACKED).save(folder)
     # the row count comes from the file footers
     rows = spark.read.schema(target.schema).parquet(folder).count()
     if rows > 0 or not keep_if_empty:
