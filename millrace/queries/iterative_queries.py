@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.ml.recommendation import ALS
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.ml.factors import errors_by_round
 from millrace.operators.graph import page_rank, transitive_closure
 from millrace.operators.iterative import kmeans, logistic_descent, nearest, squared_distance
 from millrace.operators.sampling import (
@@ -151,13 +148,8 @@ def it_logistic_gd(spark, sf_dir):
 @query("it_als")
 def it_als(spark, sf_dir):
     # the error after each of five rounds
-    known = cut_lineage(ratings(spark, sf_dir))
-    errors = []
-    for rounds in range(1, 6):
-        model = ALS(rank=10, maxIter=rounds, regParam=0.01, userCol="user", itemCol="item", ratingCol="rating", seed=42).fit(known)
-        rmse = F.sqrt(F.avg(F.pow(F.col("rating") - F.col("prediction"), 2)))
-        errors.append(model.transform(known).agg(F.lit(rounds).alias("rounds"), rmse.alias("rmse")))
-    return reduce(DataFrame.unionByName, errors)
+    errors = errors_by_round(cut_lineage(ratings(spark, sf_dir)), 5, rank=10, reg=0.01, seed=42)
+    return spark.createDataFrame(list(enumerate(errors, 1)), "rounds int, rmse double")
 
 
 # ---------------------------------------------------------------- sampling

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.ml import factors
 from millrace.queries import model_queries
+from millrace.registry import QUERIES
 
 PARAMS = dict(rank=10, regParam=0.01, userCol="user", itemCol="item", ratingCol="rating", seed=42)
 
@@ -32,6 +33,13 @@ def test_rounds_are_those_of_the_estimator(spark, known, monkeypatch):
     assert found == pytest.approx(want, rel=1e-4)
 
 
+def test_rounds_are_trained_once(spark, sf_dir, monkeypatch):
+    trained, fit = [], ALS.fit
+    monkeypatch.setattr(ALS, "fit", lambda self, *a: trained.append(self.getMaxIter()) or fit(self, *a))
+    assert [r["rounds"] for r in QUERIES["it_als"](spark, sf_dir).orderBy("rounds").collect()] == [1, 2, 3, 4, 5]
+    assert sum(trained) <= 5
+
+
 def test_missing_ratings_are_refused(spark, known):
     with pytest.raises(Exception, match="(?i)nan|null"):
         factors.errors_by_round(known.union(spark.createDataFrame([(None, 7, 3)], known.schema)), 1, rank=10, reg=0.01, seed=42)
