@@ -213,11 +213,14 @@ def token_rows(df, column="tokens"):
     )
 
 
-def tokenized(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+def tokens_of(documents):
     return Tokenizer(inputCol="text", outputCol="tokens").transform(documents)
 
 
+def tokenized(spark, sf_dir):
+    return tokens_of(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 TOKENS = r"string_split_regex(regexp_replace(lower(text), '\s+$', ''), '\s')"
 
 
@@ -283,8 +286,9 @@ def ml_ngram(spark, sf_dir):
         from tf join df on tf.word = df.word group by doc_id""",
 )
 def ml_tf_idf(spark, sf_dir):
-    # the outer form spares Spark's inferred filter on the list, which would tokenize every text again
-    words = tokenized(spark, sf_dir).select("doc_id", F.explode_outer("tokens").alias("word")).filter("word is not null")
+    # whole texts meet by document, so that their words are counted where they are; the outer form spares Spark's inferred filter on the list, which would tokenize every text again
+    texts = table(spark, sf_dir, "documents").select("doc_id", "text").repartition("doc_id")
+    words = tokens_of(texts).select("doc_id", F.explode_outer("tokens").alias("word")).filter("word is not null")
     return tf_idf(words, table(spark, sf_dir, "documents").count()).groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("terms"), F.round(F.sum("weight"), 4).alias("weight"), F.round(F.max("weight"), 6).alias("top_weight")
     )
