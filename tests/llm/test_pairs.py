@@ -118,6 +118,27 @@ def test_vectors_null_ids_and_empty_table(spark):
     assert vectors.near_vectors(spark.createDataFrame([], kind)).collect() == []
 
 
+def test_vectors_are_sent_once_to_each_chunk(spark, tmp_path, monkeypatch):
+    """A vector goes to as many tasks as there are chunks, and every two chunks are one task."""
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.standard_normal(32).astype("f4").tolist()) for i in range(300)]
+    rows += [(1000 + i, [x * 2 + 1e-3 for x in rows[i][1]]) for i in range(0, 300, 7)]
+    whole_groups = vectors.whole_groups
+
+    def counted(batches, keys, *more):
+        for table in whole_groups(batches, keys, *more):
+            with open(tmp_path / "met", "a") as f:
+                f.write(f"{table.num_rows} {len(arrays.runs([table.column(k).to_numpy() for k in keys])) - 1}\n")
+            yield table
+
+    monkeypatch.setattr(vectors, "whole_groups", counted)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = vectors.near_vectors(df, rows_per_task=100).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == sorted(brute.near(rows, 0.95))
+    met = [[int(x) for x in line.split()] for line in open(tmp_path / "met")]
+    assert [sum(x) for x in zip(*met)] == [4 * len(rows), 10]
+
+
 def test_every_near_pair_meets_in_a_block():
     rng = np.random.default_rng(8)
     x = rng.standard_normal((200, 64))
