@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.ingest.run import ingest, pull, read_watermark, stamp
 from millrace.ingest.specs import WAREHOUSE, IngestSpec, labelled
 from millrace.ml.metrics import binary_curve_areas
-from millrace.operators import skew
+from millrace.operators import iterative, skew
 from millrace.operators.graph import page_rank, transitive_closure
 from millrace.operators.intervals import contained_in
 from millrace.operators.iterative import kmeans, logistic_descent
@@ -277,6 +277,29 @@ def test_kmeans_keeps_an_empty_centre(spark):
     assert centres == [[0.0, 1.0], [10.0, 0.0], [500.0, 500.0]]
 
 
+def test_kmeans_rounds_read_packed_points(spark, monkeypatch):
+    """A round interprets no expression per point; ties go to the lower centre, and tables with odd vectors give what they gave."""
+    draw = random.Random(4)
+    rows = [([draw.gauss(9 * (i % 3), 2.0), draw.gauss(0, 2.0)],) for i in range(300)] + [([4.5, 0.0],)] * 5
+    start = [[0.0, 0.0], [9.0, 0.0], [18.0, 0.0], [18.0, 0.0]]
+    df = spark.createDataFrame(rows, "v array<double>").repartition(3)
+    distance = lambda p, c: sum((x - y) ** 2 for x, y in zip(p, c))
+    want = [list(c) for c in start]
+    for _ in range(3):
+        own = [min(range(4), key=lambda i: distance(v, want[i])) for (v,) in rows]
+        for i in range(4):
+            if i in own:
+                members = [v for (v,), k in zip(rows, own) if k == i]
+                want[i] = [sum(x) / len(members) for x in zip(*members)]
+    odd = df.union(spark.createDataFrame([([1.0, float("inf")],)], df.schema))
+    slow = kmeans(odd, "v", start, 0.0, 1)
+    assert not abs(slow[0][1]) < float("inf") and slow[3] == [18.0, 0.0]
+    monkeypatch.setattr(iterative, "nearest", lambda *_: pytest.fail("a round went over single points"))
+    found = kmeans(df, "v", start, 0.0, 3)
+    assert [x for c in found for x in c] == pytest.approx([x for c in want for x in c], rel=1e-12)
+    assert kmeans(df, "v", start, 0.0, 1)[3] == [18.0, 0.0]
+
+
 def test_logistic_descent(spark):
     df = spark.createDataFrame([(1.0, 2.0), (-1.0, -1.0)], "y double, x double")
     # from zero, sigma is 1/2: the gradient is the sum of -y*x/2
