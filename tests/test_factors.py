@@ -71,3 +71,24 @@ def test_ratings_number_keys_as_before(spark, tmp_path):
     # customers: null, 50, 100, 200; parts: null, 10, 20, 30
     assert sorted((r["user"], r["item"], r["rating"]) for r in found.collect()) == [(3, 3, 2.0), (4, 2, 5.0), (4, 4, 1.0)]
     assert found.dtypes == [("rating", "double"), ("user", "int"), ("item", "int")]
+
+
+def test_model_is_that_of_the_estimator(spark, known, monkeypatch):
+    """Trained in small blocks and chunks; the estimator itself fits no round."""
+    want = ALS(maxIter=3, **PARAMS).fit(known)
+    fit_rounds, whole = [], ALS.fit
+    monkeypatch.setattr(ALS, "fit", lambda self, *a: fit_rounds.append(self.getMaxIter()) or whole(self, *a))
+    monkeypatch.setattr(factors, "RATINGS_PER_CHUNK", 9)
+    found = factors.fit(known, 3, rank=10, reg=0.01, seed=42, per_block=25)
+    for a, b in ((found.userFactors, want.userFactors), (found.itemFactors, want.itemFactors)):
+        a, b = (df.orderBy("id").collect() for df in (a, b))
+        assert [r["id"] for r in a] == [r["id"] for r in b]
+        assert [x for r in a for x in r["features"]] == pytest.approx([x for r in b for x in r["features"]], rel=1e-3, abs=1e-4)
+    assert fit_rounds == [0]
+
+
+def test_query_trains_in_blocks(spark, sf_dir, monkeypatch):
+    fit_rounds, whole = [], ALS.fit
+    monkeypatch.setattr(ALS, "fit", lambda self, *a: fit_rounds.append(self.getMaxIter()) or whole(self, *a))
+    assert QUERIES["ml_als_holds"](spark, sf_dir).first() is not None
+    assert sum(fit_rounds) == 0
